@@ -12,6 +12,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from provlake.functions.hashing import SPACE
 
@@ -69,13 +70,13 @@ def text_of_html(page: str | None) -> str | None:
     return "\n".join(p.parts)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_text(page: pd.Series) -> pd.Series:
     """T-02 with a parser: entities resolved."""
     return page.map(text_of_html)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Composed form; Spark has no function for it."""
     return text.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
@@ -253,6 +254,13 @@ def extractor(stored_as: Column) -> Column:
 MAX_MEMBERS, MAX_MEMBER, MAX_TOTAL = 2_000, 100 << 20, 200 << 20
 
 
+EXTRACTED = T.StructType([
+    T.StructField("text", T.StringType()),
+    T.StructField("members", T.ArrayType(T.StructType([T.StructField("inner_file", T.StringType()), T.StructField("inner_sha256", T.StringType())]))),
+    T.StructField("note", T.StringType()),
+])
+
+
 def zip_members(content: bytes) -> list[tuple[str, bytes]]:
     """T-05: members sorted by name, within the caps on number and size; raises beyond them."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
@@ -338,7 +346,7 @@ def extract(content: bytes | None, suffix: str | None) -> tuple[str | None, list
         return None, [], f"extraction failed: {type(e).__name__}"
 
 
-@F.pandas_udf("text string, members array<struct<inner_file:string,inner_sha256:string>>, note string")
+@F.pandas_udf(EXTRACTED)
 def extract_text(content: pd.Series, suffix: pd.Series) -> pd.DataFrame:
     """T-06 over columns of bytes and suffixes."""
     rows = [extract(c, s) for c, s in zip(content, suffix)]
@@ -350,7 +358,7 @@ def in_scope(members: Column, wanted: str, unwanted: str) -> Column:
     return F.filter(members, lambda m: m["inner_file"].rlike(wanted) & ~m["inner_file"].rlike(unwanted))
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def names_model(text: pd.Series, model: pd.Series, siblings: pd.Series) -> pd.Series:
     """T-16: whether the head of a text names the model, and not a longer-named sibling.
 

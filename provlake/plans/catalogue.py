@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provlake.plans import data_quality
+from provlake.plans import data_quality, ledger, scalars
 
-_PARTS = (data_quality,)
+_PARTS = (ledger.book, scalars.book, data_quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +43,10 @@ class Stash:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
+        local = self.root.removeprefix("file://")
+        if local.startswith("/"):
+            # results read from it lazily, so it goes when the driver's program ends
+            atexit.register(shutil.rmtree, local, ignore_errors=True)
 
     def put(self, df: DataFrame, name: str, **options) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -58,3 +65,15 @@ class Stash:
         jvm, path = self.spark.sparkContext._jvm, f"{self.root}/{name}"
         hadoop = jvm.org.apache.hadoop.fs.Path(path)
         hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def hash_sample(df: DataFrame, id_col: str, most: int) -> DataFrame:
+    """At most so many rows, the first by a hash of the id: what a model is fitted on.
+
+    Of a large table only about four times as many rows are sorted, so that no
+    partition sends more than its share.
+    """
+    n = df.count()
+    if n > 4 * most:
+        df = df.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 40)) < int((1 << 40) * 4 * most / n))
+    return df.orderBy(F.xxhash64(id_col), id_col).limit(most)

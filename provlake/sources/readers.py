@@ -14,16 +14,22 @@ from pyspark.sql import types as T
 MANIFEST = """source_id string, provider string, model string, target_kind string, sha256 string, size_bytes bigint, stored_as string, text_sha256 string, doc_links_sha256 string,
 extraction_notes array<string>, http struct<url:string,final_url:string,status_code:int,content_type:string,etag:string,last_modified:string,content_length:string,fetched_at:string,rendered:boolean,consent_nodes_removed:int,consent_dismissed:boolean,frames_captured:array<string>>,
 prior_sha256 string, extracted_text_sha256 string, wayback struct<ok:boolean,status_code:int,snapshot:string,at:string,fresh:boolean,error:string,answered:boolean>, wayback_attempts array<struct<ok:boolean,status_code:int,at:string,answered:boolean,superseded:boolean,error:string>>,
-ots struct<ok:boolean,calendars:array<string>,at:string,restamped_at:string,note:string>, git_commit string, git_path string, git_blob_sha string, _corrupt string"""
+ots struct<ok:boolean,calendars:array<string>,at:string,restamped_at:string,note:string>, git_commit string, git_path string, git_blob_sha string"""
 
 EVENT = """ts string, source string, target string, url string, kind string, outcome string, sha256 string, text_sha256 string, dir string, absence string, confirmed_by array<string>, witness struct<saw:boolean,reason:string>,
 observations array<struct<status_code:int,headers:string,error:string,ts:string>>, status_code int, error string, vantage string, reason string, survives_in string"""
 
 
+def is_object(json: Column) -> Column:
+    """Readable JSON that is an object; a reader of one field alone would not notice broken text."""
+    return F.ltrim(json).startswith("{") & F.coalesce(F.try_parse_json(json).isNotNull(), F.lit(False))
+
+
 def manifests(spark: SparkSession, root: str) -> DataFrame:
     """S-01: manifests below captures/<source>/<target>/<stamp>/, with the keys of their paths; invalid ones skipped."""
-    df = spark.read.schema(MANIFEST).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(f"{root}/captures/*/*/*/manifest.json")
-    return df.select(F.regexp_extract(F.col("_metadata.file_path"), r"(captures/[^/]+/[^/]+/[^/]+)/manifest\.json$", 1).alias("capture_dir"), "*").where("_corrupt is null").drop("_corrupt")
+    texts = spark.read.text(f"{root}/captures/*/*/*/manifest.json", wholetext=True)
+    whole = texts.where(is_object(F.col("value")))
+    return whole.select(F.regexp_extract(F.col("_metadata.file_path"), r"(captures/[^/]+/[^/]+/[^/]+)/manifest\.json$", 1).alias("capture_dir"), F.from_json("value", MANIFEST).alias("m")).select("capture_dir", "m.*")
 
 
 def raw_files(spark: SparkSession, root: str) -> DataFrame:
@@ -34,7 +40,7 @@ def raw_files(spark: SparkSession, root: str) -> DataFrame:
 
 def extracted_texts(spark: SparkSession, root: str) -> DataFrame:
     """S-03: extracted texts with one kind of line end."""
-    df = spark.read.option("wholetext", True).option("pathGlobFilter", "extracted.txt").option("recursiveFileLookup", True).text(f"{root}/captures")
+    df = spark.read.option("pathGlobFilter", "extracted.txt").option("recursiveFileLookup", True).text(f"{root}/captures", wholetext=True)
     return df.select(F.regexp_extract(F.col("_metadata.file_path"), r"(captures/[^/]+/[^/]+/[^/]+)/[^/]+$", 1).alias("capture_dir"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
 
 
@@ -46,15 +52,13 @@ def event_log(spark: SparkSession, path: str) -> DataFrame:
     """
     lines = spark.read.text(path).rdd.zipWithIndex().map(lambda x: (x[1] + 1, x[0][0]))
     rows = spark.createDataFrame(lines, "seq bigint, line string")
-    held = F.when(F.ltrim("line").startswith("{"), F.from_json("line", EVENT + ", _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}))
-    rows = rows.withColumn("e", held)
-    return rows.withColumn("e", F.when(F.col("e._corrupt").isNull(), F.col("e"))).select("seq", "line", "e")
+    return rows.select("seq", "line", F.when(is_object(F.col("line")), F.from_json("line", EVENT)).alias("e"))
 
 
 def state_versions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """S-05: (targets, versions) of the index; versions are numbered in order."""
     shape = "map<string,struct<last_sha256:string,last_text_sha256:string,last_capture:string,managed:string,retired:string,versions:array<struct<sha256:string,dir:string>>>>"
-    whole = spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json("value", shape)).alias("state_key", "s"))
+    whole = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", shape)).alias("state_key", "s"))
     keyed = whole.select("state_key", F.substring_index("state_key", "::", 1).alias("source_id"), F.substring_index("state_key", "::", -1).alias("target"), "s.*")
     return keyed.drop("versions"), keyed.select("source_id", "target", F.posexplode("versions").alias("ord", "v")).select("source_id", "target", "ord", "v.sha256", "v.dir")
 

@@ -24,9 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provlake.llm.consistent import consistent
+from provlake.session import hash_sample
 
-#: Records that the classifier is fitted on, at most, and sentences of them.
-TRAIN_RECORDS, TRAIN_SENTENCES = 8_000, 60_000
+#: Records that the classifier is fitted on, at most, sentences of them, and characters of one.
+TRAIN_RECORDS, TRAIN_SENTENCES, TRAIN_CHARS = 8_000, 60_000, 20_000
 DIMENSIONS = 1 << 18
 THRESHOLD = 0.5
 L2, STEPS = 2e-6, 200
@@ -130,7 +131,7 @@ def fit(x: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 def training_sample(df: DataFrame, manifest: DataFrame, id_col: str, text_col: str, key: str) -> list:
     """At most TRAIN_RECORDS records with status and host, chosen by a hash of the id."""
-    chosen = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(key).alias("k")).orderBy(F.xxhash64("i"), "i").limit(TRAIN_RECORDS)
+    chosen = hash_sample(df.where(F.length(text_col) <= TRAIN_CHARS).select(F.col(id_col).alias("i"), F.col(key).alias("k")), "i", TRAIN_RECORDS)
     texts = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(chosen.select("i"), "i", "left_semi")
     sent = manifest.select(F.col(key).alias("k"), F.col("http.status_code").alias("status"), F.lower(F.try_parse_url("http.url", F.lit("HOST"))).alias("host"))
     known = chosen.join(sent, "k").groupBy("i").agg(F.max("status").alias("status"), F.min("host").alias("host"))

@@ -23,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from provlake.session import hash_sample
+
 FORMS = ("prose", "list", "table", "junk")
-#: Documents and lines that the mixture is fitted on, at most.
-SAMPLE_DOCUMENTS, SAMPLE_LINES = 2_500, 40_000
+#: Documents and lines that the mixture is fitted on, at most, and characters of one document.
+SAMPLE_DOCUMENTS, SAMPLE_LINES, SAMPLE_CHARS = 2_500, 40_000, 100_000
 STEPS, RIDGE, SEED = 40, 0.05, 7
 #: Components started among lines of no form, and of prose, list, table and junk.
 START = (2, 14, 10, 10, 16)
@@ -197,11 +199,12 @@ class Mixture:
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> list:
     """(text, form or None): labelled documents first, then others, chosen by a hash of the id."""
     clear = labels.where(F.col("form").isin(*FORMS)).groupBy(F.col(id_col).alias("i")).agg(F.min("form").alias("form"), F.countDistinct("form").alias("k")).where("k = 1").select("i", "form")
-    known = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t is not null")
-    named = known.join(clear, "i").orderBy(F.xxhash64("i"), "i").limit(SAMPLE_DOCUMENTS)
-    rows = named.select("t", "form").collect()
+    known = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where(F.length("t") <= SAMPLE_CHARS)
+    named = hash_sample(clear, "i", SAMPLE_DOCUMENTS)
+    rows = known.join(named, "i").orderBy("i").select("t", "form").collect()
     if len(rows) < SAMPLE_DOCUMENTS // 4:
-        rows += known.join(clear, "i", "left_anti").select("t", F.lit(None).cast("string").alias("form")).orderBy(F.xxhash64("t"), "t").limit(SAMPLE_DOCUMENTS // 4 - len(rows)).collect()
+        others = hash_sample(known.select("i").join(clear, "i", "left_anti"), "i", SAMPLE_DOCUMENTS // 4 - len(rows))
+        rows += known.join(others, "i", "left_semi").orderBy("i").select("t", F.lit(None).cast("string").alias("form")).collect()
     return rows
 
 

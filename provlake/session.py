@@ -7,13 +7,35 @@ import gc
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, once per application, wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = Path(__file__).resolve().parent
+    d = tempfile.mkdtemp(prefix=f"{here.name}-")  # on the driver, whose file server hands it out
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
+    archive = Path(d) / f"{here.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(here.rglob("*.py")):
+            z.write(path, path.relative_to(here.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data directory."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provlake.plans import data_quality, diffs, event_log, ledger, scalars, streams
+from provlake.plans import data_quality, diffs, discovery, event_log, ledger, scalars, streams
 
-_PARTS = (ledger.book, event_log.book, diffs.book, scalars.book, streams, data_quality)
+_PARTS = (ledger.book, event_log.book, diffs.book, discovery.book, scalars.book, streams, data_quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -30,6 +30,8 @@ from provlake.session import hash_sample
 TRAIN_RECORDS, TRAIN_SENTENCES, TRAIN_CHARS = 8_000, 60_000, 20_000
 DIMENSIONS = 1 << 18
 THRESHOLD = 0.5
+#: Features that a task holds at once; a batch of long texts has many more.
+FLUSH = 1_000_000
 L2, STEPS = 2e-6, 200
 
 
@@ -167,22 +169,28 @@ def labelled(rows: list) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, list
 
 def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     w = model.value
-    bias = float(w[-1])
     for b in batches:
-        idx, sizes, owner = [], [], []
         texts = b.column(1).to_pylist()
+        best = np.full(len(texts), -np.inf)
+        idx, sizes, owner = [], [], []
+
+        def flush() -> None:
+            if sizes:
+                starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                np.maximum.at(best, np.array(owner), np.add.reduceat(w[np.array(idx)], starts) + w[-1])
+            idx.clear(), sizes.clear(), owner.clear()
+
         for n, t in enumerate(texts):
             parts = sentences(t)
             chars = sum(map(len, parts))
             for k in range(len(parts)):
                 f = features(parts, k, chars)
-                idx += f
+                idx.extend(f)
                 sizes.append(len(f))
                 owner.append(n)
-        best = np.full(len(texts), -np.inf)
-        if sizes:
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            np.maximum.at(best, np.array(owner), np.add.reduceat(w[np.array(idx)], starts) + bias)
+                if len(idx) > FLUSH:
+                    flush()
+        flush()
         p = 1 / (1 + np.exp(-np.clip(best, -30, 30)))
         p[[t is None for t in texts]] = np.nan
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p, from_pandas=True)], names=["id", "score"])

@@ -66,6 +66,8 @@ def _classes() -> np.ndarray:
 
 
 N_FEATURES = 26
+#: Lines that a task gives to the mixture at once.
+FLUSH = 20_000
 #: Stress of the statistics while the start is sought: repeated and common words part salads of words from sentences.
 LEANING = np.where(np.isin(np.arange(N_FEATURES), (15, 16)), 2.0, 1.0)
 
@@ -239,21 +241,31 @@ def _measure(batches: Iterator[pa.RecordBatch], common: frozenset[str], model) -
     mixture, mapping = model.value if model.value else (None, None)
     names = ["id", "n_lines", "n_words", "mean_word_length", "symbol_ratio", "lines_ending_in_punctuation", "common_word_share", *(f"{f}_chars" for f in FORMS)]
     for b in batches:
-        rows, blocks, sizes, counts = [], [], [], []
-        for t in b.column(1).to_pylist():
+        texts = b.column(1).to_pylist()
+        rows, chars = [], np.zeros((len(texts), len(FORMS)))
+        blocks, sizes, owner = [], [], []
+
+        def flush() -> None:
+            if blocks and mixture:
+                p = mixture.responsibilities(np.concatenate(blocks)) @ mapping * np.concatenate(sizes)[:, None]
+                np.add.at(chars, np.concatenate(owner), p)
+            blocks.clear(), sizes.clear(), owner.clear()
+
+        held = 0
+        for k, t in enumerate(texts):
             x, size = line_statistics(t or "", common)
             w = (t or "").split()
-            n = len(w)
-            total = size.sum()
+            n, total = len(w), size.sum()
             rows.append((len(size), n, sum(map(len, w)) / n if n else 0.0, float((x[:, 7] * size).sum() / total) if total else 0.0, float(x[:, 17].mean()) if len(size) else 0.0, sum(map(common.__contains__, map(str.lower, w))) / n if n else 0.0))
-            blocks.append(x)
-            sizes.append(size)
-            counts.append(len(size))
-        chars = np.zeros((len(rows), len(FORMS)))
-        x = np.concatenate(blocks) if blocks else np.zeros((0, N_FEATURES))
-        if len(x) and mixture:
-            p = mixture.responsibilities(x) @ mapping * np.concatenate(sizes)[:, None]
-            np.add.at(chars, np.repeat(np.arange(len(rows)), counts), p)
+            for at in range(0, len(x), FLUSH):
+                blocks.append(x[at : at + FLUSH])
+                sizes.append(size[at : at + FLUSH])
+                owner.append(np.full(len(blocks[-1]), k))
+                held += len(blocks[-1])
+                if held >= FLUSH:
+                    flush()
+                    held = 0
+        flush()
         yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[k] for r in rows], pa.int64() if k < 2 else pa.float64()) for k in range(6)), *(pa.array(chars[:, k]) for k in range(len(FORMS)))], names=names)
 
 

@@ -121,6 +121,27 @@ def test_near_duplicates_on_copies_and_odd_rows(spark):
     assert near_duplicates.near_duplicate_pairs(df.limit(0), "capture_id", "t").count() == 0
 
 
+def test_slices_of_a_batch_give_what_the_batch_gives(monkeypatch):
+    """Sets, entries and verification in small slices, for batches of very long texts."""
+    import pyarrow as pa
+
+    rows = corpus(60, 3)
+    whole = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["id", "text"])
+
+    class Heavy:
+        value = (near_duplicates.np.zeros(0, "int64"), near_duplicates.np.zeros(0, "int64"))
+
+    def run():
+        sets = pa.Table.from_batches(near_duplicates._sets([whole], 40)).combine_chunks().to_batches()[0]
+        entries = pa.Table.from_batches(near_duplicates._entries([sets.select(["id", "words"])], Heavy)).to_pylist()
+        pair = pa.RecordBatch.from_arrays([sets["id"], sets["id"], sets["words"], sets["words"].take(pa.array(range(len(sets))[::-1]))], names=["a", "b", "wa", "wb"])
+        return sets.to_pylist(), entries, pa.Table.from_batches(near_duplicates._verify([pair])).to_pylist(), sum(r["c"] for b in near_duplicates._counts([sets.select(["words"])]) for r in b.to_pylist())
+
+    want = run()
+    monkeypatch.setattr(near_duplicates, "FLUSH", 100)
+    assert run() == want
+
+
 def test_components_of_a_long_chain(spark):
     from provlake.session import Stash
 
@@ -214,6 +235,30 @@ def test_residue_without_rows_or_cases(spark):
     assert residue.residue_scores(plain, m.limit(0), "capture_id", "extracted_txt", "capture_dir").where("is_residue").count() == 0
 
 
+def test_long_batches_are_worked_on_in_parts(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["One two three.\nFour five. Six {{x}} seven.", None, "", "a " * 300, "- x\n- y\n- z\n1 | 2 | 3"] * 3
+    b = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+
+    class Weights:
+        value = np.random.default_rng(0).normal(size=residue.DIMENSIONS + 1)
+
+    class Fitted:
+        value = text_quality.fit([{"t": t * 4, "form": f} for t, f in zip([x for x in texts if x], ("prose", "junk", "list") * 3)], frozenset({"two"}))
+
+    def run():
+        return next(residue._score(iter([b]), Weights)).to_pylist(), next(text_quality._measure(iter([b]), frozenset({"two"}), Fitted)).to_pylist()
+
+    want = run()
+    monkeypatch.setattr(residue, "FLUSH", 5)
+    monkeypatch.setattr(text_quality, "FLUSH", 2)
+    got = run()
+    for x, y in zip(want[0] + want[1], got[0] + got[1]):
+        assert all((a is None and c is None) or abs(a - c) < 1e-6 for a, c in zip(x.values(), y.values()))
+
+
 def test_phrases():
     for s in ("See {{#if version}} here", "Rates of <insert languages> rose", "Company: [name to be completed]", "lorem ipsum dolor", "You need to enable JavaScript to run this app.", "HTTP 404 - Page not found"):
         assert residue.weak_label(s, 400, 200) == 1, s

@@ -375,6 +375,7 @@ def slug_dates(t):
     "with x as (select seq, try_cast(substr(ts, 1, 10) as date) as d, ingested_at from check_log) select seq, date_diff('day', d, cast(ingested_at as date)) as days from x"
 )
 def days_between(t):
+    """D-02."""
     return t("check_log").select("seq", F.date_diff(F.to_date("ingested_at"), times.day_of(F.col("ts"))).cast("bigint").alias("days"))
 
 
@@ -402,6 +403,7 @@ def proof_age(t):
 
 @book.add("with x as (select distinct capture_dir, try_strptime(ots.at, '%Y-%m-%dT%H:%M:%SZ') as a from manifest where coalesce(ots.ok, false) and len(ots.calendars) > 0) select capture_dir, floor((epoch(timestamp '2027-01-01') - epoch(a)) / 86400)::bigint as days from x where floor((epoch(timestamp '2027-01-01') - epoch(a)) / 86400) > 7")
 def pending_days(t):
+    """D-06, V-C9: proofs pending for more than a week."""
     age = F.floor((F.unix_timestamp(F.lit("2027-01-01 00:00:00").cast("timestamp")) - times.epoch_of_stamp(F.col("ots.at"), "yyyy-MM-dd'T'HH:mm:ss'Z'")) / 86400)
     return t("manifest").where("coalesce(ots.ok, false) and size(ots.calendars) > 0").select("capture_dir", age.alias("days")).where("days > 7").distinct()
 
@@ -411,6 +413,7 @@ _TS = r"try_cast(case when regexp_matches(ts, '([zZ]|[+-]\d{2}:?\d{2})$') then t
 
 @book.add(f"with x as (select max({_TS}) as m from check_log), y as (select max(ingested_at) as n from check_log) select strftime(timezone('UTC', m), '%Y-%m-%d %H:%M:%S') as newest, epoch(cast(n as timestamptz)) - epoch(m) > 48 * 3600 as stale from x, y")
 def log_freshness(t):
+    """D-07, V-C11."""
     from provlake.operators.references import utc_timestamp
 
     log = t("check_log").agg(F.max(utc_timestamp(F.col("ts"))).alias("m"), F.max("ingested_at").alias("n"))

@@ -34,9 +34,9 @@ LOOK_ALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K",
     "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
     "Ϲ": "C", "Ϳ": "J",
-    # Armenian, Cherokee-free subset, Latin variants, letter-like signs
+    # Armenian, Latin variants
     "օ": "o", "ո": "n", "ս": "u", "հ": "h", "ց": "g", "Օ": "O", "Ս": "U",
-    "ɑ": "a", "ɡ": "g", "ſ": "f", "ʋ": "v",
+    "ɑ": "a", "ɡ": "g", "ʋ": "v",
     # Hyphens
     "‐": "-", "‑": "-", "−": "-", "⁃": "-", "﹣": "-",
     "˗": "-",
@@ -46,6 +46,8 @@ LOOK_ALIKES = {
 #: Raised, lowered, circled, fraction and similar forms are visibly different.
 FOLDED_TAGS = frozenset({"<wide>", "<narrow>", "<noBreak>", "<small>", "<font>"})
 
+#: Format characters that are drawn: number and verse signs.
+_DRAWN_FORMATS = {*range(0x0600, 0x0606), 0x06DD, 0x070F, 0x0890, 0x0891, 0x08E2, 0x110BD, 0x110CD}
 _WIDTHLESS_MARKS = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0}
 
 
@@ -68,15 +70,17 @@ def prototype_table() -> dict[int, str | None]:
         cat = unicodedata.category(ch)
         if cat == "Cn":
             continue
-        if cat == "Cf" or cp in _WIDTHLESS_MARKS or 0xFE00 <= cp <= 0xFE0F or 0xE0100 <= cp <= 0xE01EF or 0x180B <= cp <= 0x180D:
+        if (cat == "Cf" and cp not in _DRAWN_FORMATS) or cp in _WIDTHLESS_MARKS or 0xFE00 <= cp <= 0xFE0F or 0xE0100 <= cp <= 0xE01EF or 0x180B <= cp <= 0x180D:
             table[cp] = None
         elif cat == "Zs":
             table[cp] = " "
         else:
             parts = unicodedata.decomposition(ch).split()
             if parts and parts[0].startswith("<"):
-                if parts[0] in FOLDED_TAGS or (parts[0] == "<compat>" and _joined_letters(ch, parts[1:])):
+                if parts[0] in FOLDED_TAGS:
                     table[cp] = "".join(chr(int(p, 16)) for p in parts[1:])
+                elif parts[0] == "<compat>" and _joined_letters(ch, parts[1:]):
+                    table[cp] = unicodedata.normalize("NFKD", ch)
     # prototypes of prototypes: a full-width form of a look-alike, for instance
     for cp, to in list(table.items()):
         if to:

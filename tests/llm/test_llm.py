@@ -21,7 +21,7 @@ def frame(spark, rows, schema):
 @pytest.mark.parametrize(
     "a, b, same",
     [
-        ("find", "ﬁnd", True), ("70.3 %", "７０．３ ％", True), ("résumé", "résumé", True), ("summary", "sum​ma­ry", True), ("a b", "a b", True), ("notice", "nоtісе", True), ("Vendor-4", "Vendor‐4", True),
+        ("find", "ﬁnd", True), ("70.3 %", "７０．３ ％", True), ("résumé", "résumé", True), ("summary", "sum​ma­ry", True), ("a b", "a b", True), ("notice", "nоtісе", True), ("last", "laﬅ", True), ("s", "ſ", False), ("Vendor-4", "Vendor‐4", True),
         ("resume", "résumé", False), ("o", "ø", False), ("2", "²", False), ("2", "₂", False), ("Dor", "dor", False), ("a, b", "a b", False), ("a\nb", "a b", False), ("1", "l", False), ("a–b", "a-b", False),
     ],
 )

@@ -82,10 +82,19 @@ def nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
 
 
-def words_of(text: Column, composed: bool = False) -> Column:
+#: A character outside blocks of which composition changes nothing.
+UNSETTLED = r"[^\x00-\u02ff\u0370-\u0373\u0375-\u037d\u037f-\u0386\u0388-\u0482\u048a-\u052f\u2002-\u20cf]"
+
+
+def composed(text: Column) -> Column:
+    """Composed form; only texts that may change are sent to Python."""
+    return F.coalesce(nfc(F.when(text.rlike(UNSETTLED), text)), text)
+
+
+def words_of(text: Column) -> Column:
     """T-09: the diff's tokens: banners dropped, composed, ligatures spelled, marks of forms kept."""
     plain = F.regexp_replace(text, r"(?m)^=====.*=====$", "")
-    plain = spell_ligatures(plain if composed else nfc(plain), "ft")
+    plain = spell_ligatures(composed(plain), "ft")
     return F.regexp_extract_all(plain, F.lit(rf"[{TICKED}{EMPTY}{CROSSED}]|[\p{{L}}\p{{N}}_€%.\-/:@,]+"), F.lit(0))
 
 

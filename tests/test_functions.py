@@ -49,6 +49,17 @@ def test_identity_truths(spark):
     assert [r["x"] for r in got] == [p[2] for p in pairs]
 
 
+def test_composed(spark):
+    import re
+    import unicodedata
+
+    blocks = re.compile(text.UNSETTLED)
+    settled = [chr(c) for c in range(0x3000) if not blocks.search(chr(c))]
+    assert all(unicodedata.normalize("NFC", c) == c and not unicodedata.combining(c) for c in settled)
+    values = ["cafe\u0301", "caf\u00e9", "\u212a", "\u03ac\u03b1\u0301", "plain", "", None, "\ud55c"]
+    assert column(spark, values, text.composed) == [None if v is None else unicodedata.normalize("NFC", v) for v in values]
+
+
 def test_week_bucket_and_member_key(spark):
     u = [f"https://x.example/{k}" for k in range(60)]
     assert column(spark, u, hashing.week_bucket) == [int(hashlib.sha256(x.encode()).hexdigest(), 16) % 7 for x in u]

@@ -44,3 +44,26 @@ def last_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__r"))
     return last.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """Rows numbered from 1 in the order of the partitions, without moving any of them.
+
+    The partitions must come out the same whenever they are read, as those of
+    files and written tables do.
+    """
+    marked = df.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offset = marked.groupBy("__part").agg(F.count("*").alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))  # a row per partition
+    return marked.join(F.broadcast(offset), "__part").select((F.col("__before") + F.col("__at").bitwiseAND((1 << 33) - 1) + 1).alias(name), *df.columns)
+
+
+def ranked(df: DataFrame, order: list, name: str) -> DataFrame:
+    """O-06: places in a total order over the whole table, by range partitions."""
+    cut = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    stash = Stash(df.sparkSession)
+    # one file per range: its name, not its size, says where it stands
+    cut = stash.put(cut.withColumn("__range", F.spark_partition_id()).withColumn("__row", F.monotonically_increasing_id()), "ranges")
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offset = cut.groupBy("__range").agg(F.count("*").alias("__n")).select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return cut.join(F.broadcast(offset), "__range").select((F.col("__before") + F.col("__row").bitwiseAND((1 << 33) - 1) + 1).alias(name), *df.columns)

@@ -414,10 +414,9 @@ def newest_per_source(t):
 
 @book.add("select row_number() over (order by lower(provider), lower(model), source_id) as place, source_id from registry")
 def name_order(t):
-    """O-06: places in a case-insensitive order, numbered over range partitions."""
+    """O-06: places in a case-insensitive order."""
     r = t("registry").select("source_id", F.lower("provider").alias("p"), F.lower("model").alias("m"))
-    rows = r.orderBy("p", "m", "source_id").rdd.zipWithIndex().map(lambda x: (x[1] + 1, x[0]["source_id"]))
-    return r.sparkSession.createDataFrame(rows, "place bigint, source_id string")
+    return ordered.ranked(r, ["p", "m", "source_id"], "place").select("place", "source_id")
 
 
 @book.add("with n as (select distinct upper(file_name) as name from raw_record where file_no % 2 = 1 union select distinct file_name from raw_record), k as (select distinct file_name as name from raw_record), l as (select lower(name) as low, min(name) as loose from k group by 1 having count(*) = 1) select n.name, coalesce(k.name, l.loose) as held_as from n left join k on k.name = n.name left join l on l.low = lower(n.name)")

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from provlake.operators.ordered import numbered
+
 MANIFEST = """source_id string, provider string, model string, target_kind string, sha256 string, size_bytes bigint, stored_as string, text_sha256 string, doc_links_sha256 string,
 extraction_notes array<string>, http struct<url:string,final_url:string,status_code:int,content_type:string,etag:string,last_modified:string,content_length:string,fetched_at:string,rendered:boolean,consent_nodes_removed:int,consent_dismissed:boolean,frames_captured:array<string>>,
 prior_sha256 string, extracted_text_sha256 string, wayback struct<ok:boolean,status_code:int,snapshot:string,at:string,fresh:boolean,error:string,answered:boolean>, wayback_attempts array<struct<ok:boolean,status_code:int,at:string,answered:boolean,superseded:boolean,error:string>>,
@@ -45,13 +47,12 @@ def extracted_texts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def event_log(spark: SparkSession, path: str) -> DataFrame:
-    """S-04: lines in order with their number; lines that are no JSON object keep a null event.
+    """S-04: lines of one file in order with their number; lines that are no JSON object keep a null event.
 
-    The number comes from the place of the line in the file: blocks are numbered
-    without a sort of the whole log.
+    A line's number is its place in its block of the file plus the lines of the
+    blocks before it, so nothing is sorted or moved.
     """
-    lines = spark.read.text(path).rdd.zipWithIndex().map(lambda x: (x[1] + 1, x[0][0]))
-    rows = spark.createDataFrame(lines, "seq bigint, line string")
+    rows = numbered(spark.read.text(path).withColumnRenamed("value", "line"), "seq")
     return rows.select("seq", "line", F.when(is_object(F.col("line")), F.from_json("line", EVENT)).alias("e"))
 
 

@@ -18,6 +18,23 @@ def test_lag_over_hot_key_and_nulls(spark):
     assert ordered.lag_over(df.limit(0), ["k"], ["o"], ["v"]).count() == 0
 
 
+def test_numbers_and_places(spark, tmp_path):
+    import random
+
+    values = list(range(2000))
+    random.Random(3).shuffle(values)
+    df = spark.createDataFrame([(v, v % 7) for v in values], "v int, w int").repartition(5)
+    got = ordered.ranked(df, ["w", "v"], "place").orderBy("place").collect()
+    assert [r["place"] for r in got] == list(range(1, 2001)) and [(r["w"], r["v"]) for r in got] == sorted((v % 7, v) for v in values)
+    (tmp_path / "lines.txt").write_text("".join(f"line {k}\n" for k in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = ordered.numbered(spark.read.text(str(tmp_path / "lines.txt")), "seq").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r["seq"], r["value"]) for r in rows) == [(k + 1, f"line {k}") for k in range(5000)]
+
+
 def test_change_detect(spark):
     rows = [(1, "a", "x"), (2, "a", "x"), (3, "b", "x "), (4, "c", "y"), (5, "d", " x"), (6, None, None), (7, "e", None)]
     df = spark.createDataFrame([(i, "s", "t", f"d{i}", i, sha, txt) for i, sha, txt in rows], "capture_id int, source_id string, target string, capture_dir string, captured_at int, sha256 string, extracted_txt string")

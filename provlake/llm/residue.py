@@ -29,7 +29,9 @@ from provlake.session import hash_sample
 #: Records that the classifier is fitted on, at most, sentences of them, and characters of one.
 TRAIN_RECORDS, TRAIN_SENTENCES, TRAIN_CHARS = 8_000, 60_000, 20_000
 DIMENSIONS = 1 << 18
-THRESHOLD = 0.5
+#: Words on either side of a sign in a long sentence that are scored with it.
+AROUND = 4
+THRESHOLD = 0.4
 #: Features that a task holds at once; a batch of long texts has many more.
 FLUSH = 1_000_000
 L2, STEPS = 2e-6, 200
@@ -66,7 +68,7 @@ MENTION = _phrases(
 )
 
 _SPLIT = re.compile(r"\n+|(?<=[.!?…])\s+")
-_TOKEN = re.compile(r"[^\W_]+|[{}\[\]<>%$#_@&]+|[|:\"“”«»=/]")
+_TOKEN = re.compile(r"[^\W_]+|%\(|[{}\[\]<>%$#_@&]+|[|:\"“”«»=/]")
 _DIGIT = re.compile(r"\d+")
 
 
@@ -75,9 +77,24 @@ def sentences(text: str | None) -> list[str]:
     return [s for s in _SPLIT.split(consistent(text)) if s and not s.isspace()] if text else []
 
 
-def features(parts: list[str], k: int, chars: int) -> list[int]:
-    """Hashed n-grams, length and title features of sentence k."""
-    s = parts[k]
+def units(s: str) -> list[str]:
+    """What is scored of a sentence: the whole, or of a long one with signs the words around each of them."""
+    at = list(_TOKEN.finditer(s))
+    if len(at) <= 2 * AROUND + 2:
+        return [s]
+    signs = [i for i, m in enumerate(at) if not m.group()[0].isalnum() and m.group() not in _PLAIN or m.group().lower() in _SIGNS]
+    spans: list[list[int]] = []
+    for i in signs:
+        lo, hi = max(0, i - AROUND), min(len(at), i + AROUND + 1)
+        if spans and lo <= spans[-1][1] - AROUND:
+            spans[-1][1] = hi
+        else:
+            spans.append([lo, hi])
+    return [s[at[lo].start() : at[hi - 1].end()] for lo, hi in spans] or [s]
+
+
+def features(s: str, k: int, chars: int) -> list[int]:
+    """Hashed n-grams, length and title features of (a unit of) sentence k."""
     tokens = []
     for t in _TOKEN.findall(s):
         if t[0].isdigit():
@@ -92,13 +109,25 @@ def features(parts: list[str], k: int, chars: int) -> list[int]:
     found = [size, whole, title, f"{whole} {size}", f"{title} {whole}"]
     found += tokens
     found += [f"{whole}\t{t}" for t in tokens]
-    found += map(" ".join, zip(tokens, tokens[1:]))
-    found += map(" ".join, zip(tokens, tokens[1:], tokens[2:]))
+    grams = list(map(" ".join, zip(tokens, tokens[1:])))
+    found += grams
+    signs = [not t[0].isalnum() or t in _SIGNS for t in tokens]
+    if whole != "long":
+        found += map(" ".join, zip(tokens, tokens[1:], tokens[2:]))
+    if any(signs):
+        # what stands at a sign weighs more, lest a long sentence drown it
+        near = [t for t, z in zip(tokens, signs) if z] + [g for g, z, y in zip(grams, signs, signs[1:]) if z or y]
+        near += [" ".join(g) for g, z in zip(zip(tokens, tokens[1:], tokens[2:]), zip(signs, signs[1:], signs[2:])) if any(z)]
+        found += [f"{k}\t{g}" for g in near for k in "abc"]
     crc = zlib.crc32
     return [crc(f.encode()) & DIMENSIONS - 1 for f in found]
 
 
 _CODES = frozenset({"400", "401", "403", "404", "410", "429", "500", "502", "503", "504"})
+#: Tokens at which nothing is scored by itself.
+_PLAIN = frozenset({"|", ":", '"', "“", "”", "«", "»", "=", "/", "%", "$", "#", "&"})
+#: Words that stand where a value failed to.
+_SIGNS = frozenset({"undefined", "null", "nan", "xx", "object", "insert", "todo"})
 _KEPT = frozenset({"javascript", "lorem", "insert", "error", "page", "access", "http", "todo", "js", "object"})
 
 
@@ -151,15 +180,19 @@ def labelled(rows: list) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, list
             # ordinary sentences are many: one in three of them stays
             if label is None or (label == 0 and chars > 300 and zlib.crc32(s.encode()) % 3 and not MENTION.search(s)):
                 continue
-            x.append(np.array(features(parts, k, chars), np.int64))
-            y.append(label)
-            host.append(r["host"] or "")
-            hit = PLACEHOLDER.search(s) if label else None
-            if hit and len(s) - len(hit.group()) > 40 and not residue_phrase(rest := s[: hit.start()] + s[hit.end() :]):
-                # the sentence without the placeholder is an ordinary one
-                x.append(np.array(features([*parts[:k], rest, *parts[k + 1 :]], k, chars), np.int64))
-                y.append(0)
+            whole = units(s)
+            for u in whole:
+                if label and len(whole) > 1 and not residue_phrase(u):
+                    continue
+                x.append(np.array(features(u, k, chars), np.int64))
+                y.append(label)
                 host.append(r["host"] or "")
+                hit = PLACEHOLDER.search(u) if label else None
+                if hit and len(u) - len(hit.group()) > 20 and not residue_phrase(rest := u[: hit.start()] + u[hit.end() :]):
+                    # the words without the placeholder are ordinary ones
+                    x.append(np.array(features(rest, k, chars), np.int64))
+                    y.append(0)
+                    host.append(r["host"] or "")
             if len(x) >= TRAIN_SENTENCES:
                 break
     y = np.array(y, float)
@@ -183,8 +216,8 @@ def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]
         for n, t in enumerate(texts):
             parts = sentences(t)
             chars = sum(map(len, parts))
-            for k in range(len(parts)):
-                f = features(parts, k, chars)
+            for k, u in ((k, u) for k, s in enumerate(parts) for u in units(s)):
+                f = features(u, k, chars)
                 idx.extend(f)
                 sizes.append(len(f))
                 owner.append(n)
@@ -212,7 +245,7 @@ def validation(df: DataFrame, manifest: DataFrame, id_col: str, text_col: str, k
     row = (0, 0, 0.0, 0.0)
     if held.any() and len(set(y[~held])) > 1:
         w = fit([v for v, h in zip(x, held) if not h], y[~held], weight[~held])
-        said = np.array([w[v].sum() + w[-1] > 0 for v, h in zip(x, held) if h])
+        said = np.array([w[v].sum() + w[-1] > np.log(THRESHOLD / (1 - THRESHOLD)) for v, h in zip(x, held) if h])
         true = y[held] == 1
         row = (len({h for h, z in zip(host, held) if z}), int(held.sum()), float((said & true).sum() / max(1, said.sum())), float((said & true).sum() / max(1, true.sum())))
     return df.sparkSession.createDataFrame([row], "unseen_hosts bigint, sentences bigint, precision double, recall double")

@@ -60,7 +60,7 @@ def _looks(value: object, found: Counter, key: tuple, n: int = 1) -> None:
     """Counts features of a value under (*key, feature): its words, shape, magnitude, length and characters."""
     if isinstance(value, list):
         found[(*key, "s:empty" if not value else f"s:of{kind_of(value[0])}")] += n
-        for v in value[:8]:
+        for v in value:
             if v is not None:
                 _looks(v, found, key, n)
         return
@@ -71,12 +71,12 @@ def _looks(value: object, found: Counter, key: tuple, n: int = 1) -> None:
     except ValueError:
         pass
     if isinstance(value, str):
-        for w in _WORDS.findall(_DIGIT.sub("9", text.lower()))[:40]:
+        for w in _WORDS.findall(_DIGIT.sub("9", text.lower())):
             found[(*key, f"w:{zlib.crc32(w.encode()) % WORD_BINS}")] += n
     found[(*key, f"l:{math.floor(math.log2(len(text) + 1) * 3)}")] += n
-    for ch, c in Counter(text[:80].translate(_CLASS)).items():
+    for ch, c in Counter(text.translate(_CLASS)).items():
         found[(*key, f"c:{'a' if ch > chr(127) and ch.isalpha() else ch}")] += c * n
-    shape = _LETTERS.sub("a", _DIGITS.sub(lambda m: str(min(len(m.group()), 9)), text))[:40]
+    shape = _LETTERS.sub("a", _DIGITS.sub(lambda m: str(min(len(m.group()), 9)), text))
     found[(*key, f"s:{zlib.crc32(shape.encode()) % SHAPE_BINS}")] += n
 
 

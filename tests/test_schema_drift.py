@@ -2,6 +2,7 @@
 
 import json
 import random
+from collections import Counter
 
 from provlake.operators import schema_drift as drift
 
@@ -67,3 +68,28 @@ def test_flooding_prefers_the_neighbour(spark):
 def test_name_similarity():
     assert drift.name_similarity("model_name", "modelName") > 0.9
     assert drift.name_similarity("total_score", "weight") < 0.1
+
+
+def looks(value):
+    found = Counter()
+    drift._looks(value, found, ())
+    return {k[0]: n for k, n in found.items()}
+
+
+def test_whole_values_are_profiled():
+    """Values that agree at the start and differ later have other histograms."""
+    start = [f"https://one.example/{k}" for k in range(8)]
+    assert looks(start + ["note"]) != looks(start)
+    assert sum(n for k, n in looks("word " * 50).items() if k.startswith("w:")) == 50
+    assert looks("x" * 100 + "!")["c:!"] == 1
+    long = "a-" * 30
+    assert {k for k in looks(long + "b/9") if k.startswith("s:")} != {k for k in looks(long + "b.9") if k.startswith("s:")}
+
+
+def test_rename_of_values_alike_at_the_start():
+    """Removed and added fields are told apart by what follows a long common start."""
+    start = "https://archive.example/" + "path/" * 45
+    a, b = ({"n": 1, "t:string": 1, **looks(start + end)} for end in ("?" + "=7&" * 60, "#" + "Zq_" * 60))
+    old = {"first": drift._Field("first", a, 1), "second": drift._Field("second", b, 1)}
+    new = {"some": drift._Field("some", a, 1), "other": drift._Field("other", b, 1)}
+    assert drift.correspondences(old, new) == {"first": "some", "second": "other"}

@@ -255,28 +255,38 @@ def schema_changes(records: DataFrame) -> DataFrame:
 
 
 def aliases(changes: DataFrame, records: DataFrame) -> DataFrame:
-    """(feed, file_no, names): for each file the present names of renamed fields and their first ones."""
+    """(feed, file_no, names, past): for each file the names that its feed's renamed fields have or had, with their first ones, and those of them no longer in use.
+
+    A record of an older shape may come late, so an earlier name stands for its
+    field in all later files, also after the field was removed, until an added
+    or renamed field takes the name anew.
+    """
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         now: dict[str, str] = {}
+        past: dict[str, str] = {}
         rows = []
         for no, own in pdf.sort_values("file_no").groupby("file_no"):
-            gone = {}
+            gone, firsts = {}, {}
             for f, c, n in zip(own["field"], own["change"], own["new_field"]):
+                if c in ("renamed", "removed"):
+                    gone[f] = now.get(f, f)
                 if c == "renamed":
-                    gone[f] = n
-                elif c in ("removed", "added"):
-                    now.pop(f, None)
-            firsts = {n: now.get(f, f) for f, n in gone.items()}
-            for f in gone:
+                    firsts[n] = gone[f]
+                elif c == "added":
+                    firsts[f] = f
+            for f, first in gone.items():
                 now.pop(f, None)
-            now.update(firsts)
-            rows.append((own["feed"].iloc[0], no, {k: v for k, v in now.items() if k != v}))
-        return pd.DataFrame(rows, columns=["feed", "file_no", "names"])
+                past[f] = first
+            for n, first in firsts.items():
+                past.pop(n, None)
+                now[n] = first
+            rows.append((own["feed"].iloc[0], no, {k: v for k, v in (past | now).items() if k != v}, list(past)))
+        return pd.DataFrame(rows, columns=["feed", "file_no", "names", "past"])
 
     files = records.select("feed", F.col("file_no").cast("int").alias("file_no")).where("feed is not null and file_no is not null").distinct()
     marks = files.select("feed", "file_no", F.lit("").alias("field"), F.lit("file").alias("change"), F.lit("").alias("new_field"))
-    return changes.unionByName(marks).groupBy("feed").applyInPandas(chain, "feed string, file_no int, names map<string,string>")
+    return changes.unionByName(marks).groupBy("feed").applyInPandas(chain, "feed string, file_no int, names map<string,string>, past array<string>")
 
 
 def consistent_table(records: DataFrame, changes: DataFrame) -> DataFrame:
@@ -285,6 +295,8 @@ def consistent_table(records: DataFrame, changes: DataFrame) -> DataFrame:
     A field has the name it had first in its feed; its column has the type of
     most of its values over all files (arrays as JSON text), and a value that
     cannot be cast to it is null.  Columns are the fields of at least one file.
+    Of a record that carries several names of a field, the value under the
+    present name counts, else the first one.
     """
     named = aliases(changes, records)
 
@@ -292,21 +304,21 @@ def consistent_table(records: DataFrame, changes: DataFrame) -> DataFrame:
         kind = pa.map_(pa.string(), pa.string())
         for b in batches:
             out = []
-            for body, names in zip(b.column(3).to_pylist(), b.column(4).to_pylist()):
-                names = dict(names or [])
+            for body, names, past in zip(*(b.column(k).to_pylist() for k in range(3, 6))):
+                names, past = dict(names or []), set(past or [])
                 try:
                     record = json.loads(body) if body else None
                 except ValueError:
                     record = None
                 own = {}
                 for path, value in flatten(record) if isinstance(record, dict) else ():
-                    if value is not None:
+                    if value is not None and not (path in past and names.get(path, path) in own):
                         own[names.get(path, path)] = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
                 out.append(list(own.items()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(out, kind)], names=["feed", "file_no", "rec_no", "fields"])
 
     picked = records.select("feed", F.col("file_no").cast("int").alias("file_no"), F.col("rec_no").cast("int").alias("rec_no"), "body")
-    joined = picked.join(named, ["feed", "file_no"], "left").select("feed", "file_no", "rec_no", "body", "names")
+    joined = picked.join(named, ["feed", "file_no"], "left").select("feed", "file_no", "rec_no", "body", "names", "past")
     rows = joined.mapInArrow(unify, "feed string, file_no int, rec_no int, fields map<string,string>")
     # the schema itself: as many rows as there are fields, not records
     p = profiles(records).join(named, ["feed", "file_no"], "left").withColumn("field", F.coalesce(F.try_element_at("names", "path"), "path"))

@@ -57,6 +57,20 @@ def test_consistent_table(spark):
     assert f.where("file_no < 3 and wayback_ok not in ('true', 'false')").count() == 0
 
 
+def test_earlier_names_stay_known(spark):
+    """Values under any earlier name of a field reach its column, also after two renames and a removal."""
+    names = {1: "a", 2: "b", 3: "c", 4: "c", 5: None, 6: "b"}
+    rows = [("f", no, i, json.dumps({"kept": i} | ({name: f"v{i}"} if name else {}))) for no, name in names.items() for i in range(20)]
+    rows += [("f", no, 20, json.dumps({"b": f"late{no}"})) for no in (3, 4, 5)] + [("f", 4, 21, json.dumps({"b": "old", "c": "new"})), ("f", 4, 22, json.dumps({"c": "new", "b": "old"})), ("f", 5, 21, json.dumps({"c": "c5"}))]
+    changes = [("f", 2, "a", "renamed", "b"), ("f", 3, "b", "renamed", "c"), ("f", 5, "c", "removed", ""), ("f", 6, "b", "added", "")]
+    table = drift.consistent_table(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(changes, drift.CHANGES))
+    assert set(table.columns) == {"feed", "file_no", "rec_no", "a", "b", "kept"}
+    got = {(r["file_no"], r["rec_no"]): (r["a"], r["b"]) for r in table.collect()}
+    assert all(got[no, 20] == (f"late{no}", None) for no in (3, 4, 5))
+    assert got[4, 21] == got[4, 22] == ("new", None) and got[5, 21] == ("c5", None)
+    assert got[2, 7] == got[3, 7] == ("v7", None) and got[6, 7] == (None, "v7")
+
+
 def test_flooding_prefers_the_neighbour(spark):
     """Two fields of like values are told apart by name and nesting."""
     counts = lambda n: {"n": n, "t:string": n, "w:1": n, "s:1": n, "l:3": n, "c:9": 8 * n}

@@ -78,7 +78,7 @@ def sentences(text: str | None) -> list[str]:
 
 
 def units(s: str) -> list[str]:
-    """What is scored of a sentence: the whole, or of a long one with signs the words around each of them."""
+    """What is scored of a sentence: the whole, and of a long one with signs also the words around each of them."""
     at = list(_TOKEN.finditer(s))
     if len(at) <= 2 * AROUND + 2:
         return [s]
@@ -90,7 +90,7 @@ def units(s: str) -> list[str]:
             spans[-1][1] = hi
         else:
             spans.append([lo, hi])
-    return [s[at[lo].start() : at[hi - 1].end()] for lo, hi in spans] or [s]
+    return [s, *(s[at[lo].start() : at[hi - 1].end()] for lo, hi in spans)]
 
 
 def features(s: str, k: int, chars: int) -> list[int]:
@@ -180,10 +180,10 @@ def labelled(rows: list) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, list
             # ordinary sentences are many: one in three of them stays
             if label is None or (label == 0 and chars > 300 and zlib.crc32(s.encode()) % 3 and not MENTION.search(s)):
                 continue
-            whole = units(s)
-            for u in whole:
-                if label and len(whole) > 1 and not residue_phrase(u):
-                    continue
+            whole, *near = units(s)
+            named = [u for u in near if residue_phrase(u)] if label else near
+            # a whole is a case by itself if no words around a sign are
+            for u in named if label and named else [whole, *named]:
                 x.append(np.array(features(u, k, chars), np.int64))
                 y.append(label)
                 host.append(r["host"] or "")

@@ -2,7 +2,11 @@
 
 import itertools
 import random
+import zlib
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -355,3 +359,17 @@ def test_pack(spark):
     assert use[1]["unused_share"] < 0.05 and use[1]["fullest"] <= 256
     packed.unpersist()
     assert packing.pack(d.limit(0), packs, "doc_id", "text").count() == 0
+
+
+def test_long_sentence_with_a_sign_is_scored_whole():
+    """A phrase far from any sign counts, for one sign near the end."""
+    s = "Please enable JavaScript and cookies in your browser to continue, or write to help@site.example"
+    assert s in residue.units(s) and any("help@site" in u and "JavaScript" not in u for u in residue.units(s))
+    w = np.zeros(residue.DIMENSIONS + 1, np.float32)
+    w[zlib.crc32(b"javascript") & residue.DIMENSIONS - 1], w[-1] = 8, -4
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([s])], names=["id", "text"])
+    (out,) = residue._score(iter([batch]), SimpleNamespace(value=w))
+    assert out.column("score")[0].as_py() >= residue.THRESHOLD
+    # it is learned from, too
+    x, y, _, _ = residue.labelled([{"t": s, "status": 200, "host": "h"}])
+    assert list(y) == [1] and len(x[0]) == len(residue.features(s, 0, len(s)))

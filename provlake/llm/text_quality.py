@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from provlake.session import hash_sample
 
 FORMS = ("prose", "list", "table", "junk")
-#: Documents and lines that the mixture is fitted on, at most, and characters of one document.
+#: Labelled documents and lines that the mixture is fitted on, at most, as many others again, and characters of one document.
 SAMPLE_DOCUMENTS, SAMPLE_LINES, SAMPLE_CHARS = 2_000, 20_000, 100_000
 STEPS, RIDGE, SEED = 25, 0.05, 7
 #: Components started among lines of no form, and of prose, list, table and junk.
@@ -203,14 +203,13 @@ class Mixture:
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> list:
-    """(text, form or None): labelled documents first, then others, chosen by a hash of the id."""
+    """(text, form or None): labelled documents and others, each up to their half of the sample, chosen by a hash of the id."""
     clear = labels.where(F.col("form").isin(*FORMS)).groupBy(F.col(id_col).alias("i")).agg(F.min("form").alias("form"), F.countDistinct("form").alias("k")).where("k = 1").select("i", "form")
     known = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where(F.length("t") <= SAMPLE_CHARS)
     named = hash_sample(clear, "i", SAMPLE_DOCUMENTS)
     rows = known.join(named, "i").orderBy("i").select("t", "form").collect()
-    if len(rows) < SAMPLE_DOCUMENTS:
-        others = hash_sample(known.select("i").join(clear, "i", "left_anti"), "i", SAMPLE_DOCUMENTS - len(rows))
-        rows += known.join(others, "i", "left_semi").orderBy("i").select("t", F.lit(None).cast("string").alias("form")).collect()
+    others = hash_sample(known.select("i").join(clear, "i", "left_anti"), "i", SAMPLE_DOCUMENTS)
+    rows += known.join(others, "i", "left_semi").orderBy("i").select("t", F.lit(None).cast("string").alias("form")).collect()
     return rows
 
 
@@ -226,7 +225,8 @@ def fit(rows: list, common: frozenset[str]) -> tuple[Mixture, np.ndarray] | None
     if not len(x):
         return None
     rng = np.random.default_rng(SEED)
-    few = np.argsort((form < 0) + rng.random(len(x)))[:SAMPLE_LINES]  # labelled lines before others
+    drawn = rng.permutation(len(x))
+    few = np.concatenate([drawn[(form[drawn] < 0) == other][:SAMPLE_LINES] for other in (False, True)])  # labelled lines and others
     model = Mixture(x[few], form[few])
     r = model.responsibilities(x[few])
     votes = np.zeros((r.shape[1], len(FORMS)))

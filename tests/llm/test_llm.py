@@ -373,3 +373,16 @@ def test_long_sentence_with_a_sign_is_scored_whole():
     # it is learned from, too
     x, y, _, _ = residue.labelled([{"t": s, "status": 200, "host": "h"}])
     assert list(y) == [1] and len(x[0]) == len(residue.features(s, 0, len(s)))
+
+
+def test_labelled_and_other_documents_share_the_sample(spark, monkeypatch):
+    """However many labels there are, other documents and their lines are in the sample."""
+    monkeypatch.setattr(text_quality, "SAMPLE_DOCUMENTS", 5)
+    d = frame(spark, [(i, f"Line {i} of a text.\nAnd one more.") for i in range(40)], "doc_id long, text string")
+    labels = frame(spark, [(i, "prose") for i in range(20)], "doc_id long, form string")
+    assert sorted(r["form"] or "" for r in text_quality.sample(d, labels, "doc_id", "text")) == [""] * 5 + ["prose"] * 5
+    monkeypatch.setattr(text_quality, "SAMPLE_LINES", 20)
+    seen = []
+    monkeypatch.setattr(text_quality, "Mixture", lambda x, form: seen.append(form) or SimpleNamespace(responsibilities=lambda x: np.ones((len(x), 1))))
+    text_quality.fit([{"t": "A line of words.\n" * 50, "form": f} for f in ("prose", None)], frozenset())
+    assert [(seen[0] == 0).sum(), (seen[0] < 0).sum()] == [20, 20]

@@ -15,8 +15,12 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_table(spark: SparkSession, d: str) -> DataFrame:
-    records = load(spark, d, "raw_record")
-    return schema_drift.consistent_table(records, schema_drift.schema_changes(records))
+    return schema_drift.consistent_table(load(spark, d, "raw_record"))
+
+
+def p2_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Values of each file in the one table, against those delivered."""
+    return schema_drift.values_kept(p2_table(spark, d))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -56,11 +60,12 @@ with cap as (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_table, p5_found, p5_report)}
+    return {f.__name__: f for f in (p2_found, p2_table, p2_kept, p5_found, p5_report)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p2_kept": "select feed, file_no, count(*) as n_records, sum(n)::bigint as n_values from (select r.feed, r.file_no, (select count(*) from json_tree(r.body) j where j.type not in ('OBJECT', 'NULL') and not contains(j.fullkey, '[')) as n from raw_record r) group by 1, 2",
         "p5_found": _P5 + "select ref_table, ref_field, ref_row, ref_value, period, kind from judged where kind is not null",
         "p5_report": _P5 + "select ref_table, ref_field, period, kind, count(*) as n_references, count(distinct ref_value) as n_directories from judged where kind is not null group by all",
     }

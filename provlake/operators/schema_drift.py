@@ -26,7 +26,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import cached_property, lru_cache, partial
 from itertools import combinations
 
 import numpy as np
@@ -209,10 +209,17 @@ class Field:
     """What is known of a field: share of the records that carry it, type of most values, histograms of them."""
 
     def __init__(self, path: str, counts: dict[str, int], records: int):
-        self.path, self.share = path, counts.get("n", 0) / max(records, 1)
-        kinds = {w[2:]: c for w, c in counts.items() if w.startswith("t:")}
+        self.path, self.share, self.counts = path, counts.get("n", 0) / max(records, 1), counts
+        kinds = {k: counts[f"t:{k}"] for k in _KINDS.values() if f"t:{k}" in counts}
         self.kind = min(kinds, key=lambda k: (-kinds[k], k)) if kinds else None
-        self.looks = {g: {w: c for w, c in counts.items() if w.startswith(g)} for g in GROUPS}
+
+    @cached_property
+    def looks(self) -> dict[str, dict[str, int]]:
+        found: dict[str, dict] = {g: {} for g in GROUPS}
+        for w, c in self.counts.items():
+            if w[:2] in found:
+                found[w[:2]][w] = c
+        return found
 
 
 @lru_cache(1 << 16)
@@ -351,9 +358,9 @@ def correspondences(old: dict[str, Field], new: dict[str, Field]) -> dict[str, s
     return chosen
 
 
-def _fields(part: pd.DataFrame) -> dict[str, Field]:
+def _fields(paths: np.ndarray, whats: np.ndarray, cs: np.ndarray) -> dict[str, Field]:
     counts: defaultdict[str | None, dict] = defaultdict(dict)
-    for path, what, c in zip(part["path"], part["what"], part["c"]):
+    for path, what, c in zip(paths.tolist(), whats.tolist(), cs.tolist()):
         counts[None if what == "records" else path][what] = c
     records = counts.pop(None, {}).get("records", 0)
     found = {path: Field(path, counts[path], records) for path in sorted(counts)}
@@ -363,9 +370,10 @@ def _fields(part: pd.DataFrame) -> dict[str, Field]:
 def _compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     feed, no = key
     rows = []
-    sides = [pdf[pdf["side"] == s] for s in ("old", "new")]
-    if len(sides[0]) and len(sides[1]):
-        old, new = map(_fields, sides)
+    columns = [pdf[c].to_numpy() for c in ("path", "what", "c")]
+    is_old = (pdf["side"] == "old").to_numpy()
+    if is_old.any() and not is_old.all():
+        old, new = (_fields(*(c[side] for c in columns)) for side in (is_old, ~is_old))
         renamed = correspondences(old, new)
         rows += [(feed, no, a, "renamed", b) for a, b in renamed.items()]
         rows += [(feed, no, a, "removed", "") for a in old if a not in new and a not in renamed]

@@ -6,6 +6,7 @@ import html
 import io
 import unicodedata
 import zipfile
+from collections.abc import Sequence
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -16,9 +17,20 @@ from pyspark.sql import types as T
 
 from provlake.functions.hashing import SPACE
 
-# Typographic joins and the letters they stand for; marks of forms.
-LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬆ": "st"}
-TICKED, EMPTY, CROSSED = "☒☑✓✔■", "☐□▢", "✗✘"
+# Typographic joins and the letters they stand for; marks of forms and their meaning.
+LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "ft", "ﬆ": "st"}
+GLYPHS = {"☒": "⊠", "☑": "⊠", "✓": "⊠", "✔": "⊠", "■": "⊠", "☐": "⊡", "□": "⊡", "▢": "⊡", "✗": "⊗", "✘": "⊗"}
+MARKS = "".join(GLYPHS)
+# Bytes of UTF-8 read as another encoding; a web archive's snapshot.
+MOJIBAKE = "â€|Ã¢|Ã©|Ã¨|�"
+SNAPSHOT = r"^https://web\.archive\.org/web/(\d{14})(?:id_|if_|im_)?/(.+)$"
+# Phrases of a summary, those that little else has, and how many a summary has at least.
+TEMPLATE_MARKERS = (
+    "public summary of training content", "summary of the content used for training", "article 53", "general-purpose ai",
+    "modalities", "size of dataset per modality", "data collection", "training data",
+)
+DISTINCTIVE_MARKERS = ("public summary of training content", "summary of the content used for training", "size of dataset per modality", "article 53")
+MIN_MARKERS = 2
 
 #: Word class of Python's \w without Java's extra marks.
 WORD = r"[\p{L}\p{N}_]"
@@ -26,7 +38,7 @@ WORD = r"[\p{L}\p{N}_]"
 
 def spell_ligatures(text: Column, long_s_t: str = "st") -> Column:
     """Joined letters spelled out; the long s with t is read either way."""
-    for a, b in {**LIGATURES, "ﬅ": long_s_t}.items():
+    for a, b in (LIGATURES | {"ﬅ": long_s_t}).items():
         text = F.replace(text, F.lit(a), F.lit(b))
     return text
 
@@ -95,7 +107,7 @@ def words_of(text: Column) -> Column:
     """T-09: the diff's tokens: banners dropped, composed, ligatures spelled, marks of forms kept."""
     plain = F.regexp_replace(text, r"(?m)^=====.*=====$", "")
     plain = spell_ligatures(composed(plain), "ft")
-    return F.regexp_extract_all(plain, F.lit(rf"[{TICKED}{EMPTY}{CROSSED}]|[\p{{L}}\p{{N}}_€%.\-/:@,]+"), F.lit(0))
+    return F.regexp_extract_all(plain, F.lit(rf"[{MARKS}]|[\p{{L}}\p{{N}}_€%.\-/:@,]+"), F.lit(0))
 
 
 def identity(words: Column) -> Column:
@@ -104,7 +116,7 @@ def identity(words: Column) -> Column:
     Marks of forms by meaning, separators between digits as one sign, other
     characters that are no letter or digit left out; case stays.
     """
-    line = F.translate(F.array_join(words, " "), TICKED + EMPTY + CROSSED, "⊠" * len(TICKED) + "⊡" * len(EMPTY) + "⊗" * len(CROSSED))
+    line = F.translate(F.array_join(words, " "), MARKS, "".join(GLYPHS.values()))
     line = F.regexp_replace(line, r"(?<=\p{Nd})[.,](?=\p{Nd})", "·")
     return F.regexp_replace(line, r"[^\p{L}\p{N}_⊠⊡⊗·]", "")
 
@@ -128,12 +140,17 @@ def slug_variants(name: Column) -> Column:
     return F.when(F.size(t) > 0, F.array_distinct(F.array(dashed, F.array_join(t, "_"), F.array_join(t, ""), F.array_join(t, "."), first))).otherwise(F.array().cast("array<string>"))
 
 
-def marker_count(text: Column, markers: list[str]) -> Column:
+def marker_count(text: Column, markers: Sequence[str] = TEMPLATE_MARKERS) -> Column:
     """T-15: how many of the phrases stand in the text, whitespace collapsed and case ignored."""
-    low = F.lower(F.trim(F.regexp_replace(text, SPACE, " ")))
+    low = F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")))
     return sum((F.contains(low, F.lit(m)).cast("bigint") for m in markers), F.lit(0).cast("bigint"))
 
 
+def is_summary(text: Column) -> Column:
+    """T-15: enough phrases of a summary, one of them of those that little else has."""
+    return (marker_count(text) >= MIN_MARKERS) & (marker_count(text, DISTINCTIVE_MARKERS) > 0)
+
+
 def yaml_scalar(value: Column) -> Column:
     """T-17: a hand-written scalar: trimmed, spelled-out nulls empty, a date without its clock."""
     t = F.coalesce(F.trim(value), F.lit(""))
@@ -188,7 +205,7 @@ def members_text(text: Column) -> Column:
 
 def is_mojibake(text: Column) -> Column:
     """T-23: bytes of UTF-8 read as another encoding."""
-    return text.rlike("â€|Ã¢|Ã©|Ã¨|�")
+    return text.rlike(MOJIBAKE)
 
 
 def escape_html(text: Column) -> Column:
@@ -225,9 +242,8 @@ def public_notes(notes: Column, internal: list[str]) -> Column:
 
 def snapshot_parts(url: Column) -> Column:
     """T-27: (14-digit time, archived URL) of a web archive's snapshot; null fields otherwise."""
-    rx = r"^https://web\.archive\.org/web/(\d{14})(?:id_|if_|im_)?/(.+)$"
-    got = url.rlike(rx)
-    return F.struct(F.when(got, F.regexp_extract(url, rx, 1)).alias("stamp"), F.when(got, F.regexp_extract(url, rx, 2)).alias("archived"))
+    got = url.rlike(SNAPSHOT)
+    return F.struct(F.when(got, F.regexp_extract(url, SNAPSHOT, 1)).alias("stamp"), F.when(got, F.regexp_extract(url, SNAPSHOT, 2)).alias("archived"))
 
 
 # Suffix by media type, and types that say nothing.

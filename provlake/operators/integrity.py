@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from provlake.functions import hashing
+from provlake.functions import hashing, text
 from provlake.operators import versions
 from provlake.operators.ordered import lag_over
 from provlake.operators.references import clean_dir
@@ -93,7 +93,7 @@ def lint_pages(pages: DataFrame, blobs: DataFrame | None = None) -> DataFrame:
     prose = F.regexp_replace("html", r"(?s)<pre class='extract'>.*?</pre>", "")
     parts = [
         finding(dead, "L1", F.col("path"), F.concat(F.lit("dead link "), "to")),
-        finding(pages.where(prose.rlike("â€|Ã¢|Ã©|Ã¨|�")), "L2", F.col("path"), "broken characters"),
+        finding(pages.where(text.is_mojibake(prose)), "L2", F.col("path"), "broken characters"),
         finding(pages.where(prose.rlike(r"\{[a-z_]+\}|<class '|Traceback \(most recent")), "L6", F.col("path"), "placeholder"),
         finding(twice, "L7", F.col("path"), "title not unique"),
         finding(pages.where(~F.col("html").contains("rel=\"canonical\"")), "L12", F.col("path"), "no canonical link"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from provlake.session import Stash
@@ -32,6 +32,39 @@ def lag_over(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
     return out.select(*df.columns, *[F.when(same & F.col("__before").isNotNull(), F.col(f"__before.{c}")).alias(prefix + c) for c in cols])
 
 
+def running(df: DataFrame, keys: list[str], order: list[str], folds: dict[str, tuple[Column, str]]) -> DataFrame:
+    """df with folds (name -> column, 'max' or 'sum') over the rows before each row of its key; null before the first.
+
+    Rows are cut as in `lag_over`; within a partition a window folds, and what
+    came before it is carried over by a table of one row per partition, so a
+    key with a third of all rows is spread over many tasks.  The order must be
+    total within a key.
+    """
+    stash = Stash(df.sparkSession)
+    marked = df.select("*", *[c.alias(f"__{n}") for n, (c, _) in folds.items()])
+    cut = marked.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
+    cut = stash.put(cut, "sorted")
+    fold = {"max": F.max, "sum": F.sum}
+    ends = cut.groupBy("__part").agg(F.min_by(F.struct(*keys), "__at").alias("__first"), F.max_by(F.struct(*keys), "__at").alias("__last"))
+    own = cut.groupBy("__part", *keys).agg(*[fold[how](f"__{n}").alias(f"__{n}") for n, (_, how) in folds.items()])
+    same = F.col("e.__part") == F.col("o.__part")
+    for k in keys:
+        same = same & F.col(f"e.__last.{k}").eqNullSafe(F.col(f"o.{k}"))
+    tails = own.alias("o").join(F.broadcast(ends).alias("e"), same).select("e.__part", "e.__first", "e.__last", *[f"o.__{n}" for n in folds])
+    so_far = Window.partitionBy("__last").orderBy("__part")
+    tails = tails.select("__part", "__first", "__last", *[fold[how](f"__{n}").over(so_far).alias(f"__{n}") for n, (_, how) in folds.items()])
+    before = Window.orderBy("__part")  # a row per partition
+    carried = tails.select("__part", "__first", F.lag(F.struct("__last", *[f"__{n}" for n in folds])).over(before).alias("__c")).where(F.col("__first").eqNullSafe(F.col("__c.__last")))
+    both = cut.join(F.broadcast(carried.select("__part", "__first", "__c")), "__part", "left")
+    within = Window.partitionBy("__part", *keys).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    mine = F.struct(*keys).eqNullSafe(F.col("__first"))
+    out = []
+    for n, (_, how) in folds.items():
+        here, there = fold[how](f"__{n}").over(within), F.when(mine, F.col(f"__c.__{n}"))
+        out.append((F.greatest(here, there) if how == "max" else F.coalesce(here + there, here, there)).alias(n))
+    return both.select(*df.columns, *out)
+
+
 def first_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """X-03, W-03: the first row of each key in the given order, by an aggregate that combines before the shuffle."""
     rest = [c for c in df.columns if c not in keys]

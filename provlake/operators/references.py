@@ -66,7 +66,7 @@ def clean_dir(path: Column) -> Column:
 def utc_timestamp(ts: Column) -> Column:
     """A timestamp from any ISO spelling; without an offset it is UTC; unreadable gives null."""
     t = F.trim(ts)
-    dated = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), t)
+    dated = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), F.regexp_replace(t, r"^(.{16})(?!:)", "$1:00"))
     zoned = F.when(dated.rlike(r"([zZ]|[+-]\d{2}:?\d{2})$"), F.regexp_replace(F.upper(dated), r"([+-]\d{2})(\d{2})$", "$1:$2")).otherwise(F.concat(dated, F.lit("Z")))
     return zoned.try_cast("timestamp")
 

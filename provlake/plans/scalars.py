@@ -18,7 +18,6 @@ def collapsed(column: str) -> str:
 
 
 TARGETS = "(select source_id, provider, model, status, retired, unnest(targets, recursive := true) from registry)"
-MARKERS = ["training data", "quality", "licensing", "summary", "data sources", "in practice"]
 RULES = [("captures/a", True, (".pdf",), "archive"), ("manifest-", True, (".jsonl",), "manifest"), ("eval-", True, (".jsonl", ".json"), "evaluation"), ("", False, (".yaml",), "flat")]
 
 
@@ -132,9 +131,10 @@ def slug_variants(t):
     return v.select("source_id", F.get("v", F.lit(0)).alias("dashed"), F.size("v").cast("bigint").alias("n_variants"), F.array_join(F.array_sort("v"), " ").alias("variants"))
 
 
-@book.add(f"with x as (select doc_id, lower({collapsed('text')}) as t from documents) select doc_id, " + " + ".join(f"contains(t, '{m}')::bigint" for m in MARKERS) + " as n_markers from x")
+@book.add(f"with x as (select doc_id, lower({collapsed('text')}) as t from documents) select doc_id, " + (_N := " + ".join(f"contains(t, '{m}')::bigint" for m in text.TEMPLATE_MARKERS)) + " as n_markers, " + _N + " >= 2 and (" + " or ".join(f"contains(t, '{m}')" for m in text.DISTINCTIVE_MARKERS) + ") as is_summary from x")
 def marker_count(t):
-    return t("documents").select("doc_id", text.marker_count(F.col("text"), MARKERS).alias("n_markers"))
+    """T-15."""
+    return t("documents").select("doc_id", text.marker_count(F.col("text")).alias("n_markers"), text.is_summary(F.col("text")).alias("is_summary"))
 
 
 @book.add(
@@ -308,11 +308,11 @@ _SECRET = "'([?&](?:" + "|".join(urls.SECRET) + r")=)[^&\s]+'"
 
 
 @book.add(
-    f"""with x as (select distinct url || '?Signature=abcdef&page=1&oh=' || substr(sha256(url), 1, 30) as u from check_log where url is not null), y as (select u, regexp_replace(u, {_SECRET}, '\\1…', 'g') as m from x), z as (select u, m, regexp_replace(m, '^.*?://', '') as s from y)
-    select u, m as masked, case when length(s) <= 72 then s else substr(s, 1, 40) || '…' || right(s, 30) end as short, regexp_matches(u, '[?&](?:r|X-Amz-Signature|Signature|Policy|oh|msockid)=') as signed from z"""
+    f"""with x as (select distinct url || '?Signature=abcdef&_nc_cat=1&page=1&efg=' || substr(sha256(url), 1, 30) as u from check_log where url is not null), y as (select u, regexp_replace(u, {_SECRET}, '\\1…', 'g') as m from x), z as (select u, m, regexp_replace(m, '^.*?://', '') as s from y)
+    select u, m as masked, case when length(s) <= 72 then s else substr(s, 1, 40) || '…' || right(s, 30) end as short, regexp_matches(u, '[?&](?:{"|".join(urls.SIGNING)})=') as signed from z"""
 )
 def masked_urls(t):
-    x = t("check_log").where("url is not null").select(F.concat("url", F.lit("?Signature=abcdef&page=1&oh="), F.substring(F.sha2("url", 256), 1, 30)).alias("u")).distinct()
+    x = t("check_log").where("url is not null").select(F.concat("url", F.lit("?Signature=abcdef&_nc_cat=1&page=1&efg="), F.substring(F.sha2("url", 256), 1, 30)).alias("u")).distinct()
     return x.select("u", urls.masked(F.col("u")).alias("masked"), urls.short_url(F.col("u")).alias("short"), urls.is_signed(F.col("u")).alias("signed"))
 
 
@@ -348,7 +348,7 @@ def candidate_urls(t):
 
 
 @book.add(
-    r"""select distinct url, case when regexp_matches(url, '(?i)\.(png|jpe?g|svg|gif|css|js|woff2?|ico|mp4|webm|zip)($|\?)') then 'skip' when regexp_matches(url, '(?i)\.pdf($|\?)|summary|training|transparen|legal|policy') then 'document' else 'other' end as class from check_log where url is not null"""
+    r"""select distinct url, case when regexp_matches(url, '(?i)\.(png|jpe?g|svg|gif|css|js|woff2?|ico|mp4|webm|zip)($|\?)') then 'skip' when regexp_matches(url, '(?i)\.pdf($|\?)|summary|training|transparen|ai-?act|article.?53|legal|policy') then 'document' else 'other' end as class from check_log where url is not null"""
 )
 def link_class(t):
     return t("check_log").where("url is not null").select("url", urls.link_class(F.col("url")).alias("class")).distinct()

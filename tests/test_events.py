@@ -32,12 +32,12 @@ def loop_streaks(rows):
             e = last.setdefault((s, t), [0, url, ""])
             e[0] += 1
             e[1] = url or e[1]
-            e[2] = ts or e[2]
+            e[2] = ts if ts and ts.startswith("20") else e[2]
         elif outcome in (*events.SUCCESS, "live-attested"):
             last.pop((s, t), None)
             if kind == "provider-live":
-                live[s] = max(live.get(s, ""), ts or "")
-    return {(s, t): v[0] for (s, t), v in last.items() if v[0] >= 2 and live.get(s, "") < v[2]}
+                live[s] = max(live.get(s, ""), ts if ts and ts.startswith("20") else "")
+    return {(s, t): v[0] for (s, t), v in last.items() if v[0] >= 2 and (not live.get(s) or live[s] < v[2])}
 
 
 def loop_absences(rows):
@@ -91,17 +91,46 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_absence_classes(spark):
-    day = F.to_date(F.lit("2026-01-10"))
-    claims = spark.createDataFrame(
-        [(1, "a", "t", 404, 404, None), (2, "b", "t", 404, 404, None), (3, "c", "t", 404, 404, None), (4, "a", "t", 404, 404, True), (5, "a", "t", 404, 404, False), (6, "a", "t", 500, None, None), (7, "a", "t", 410, 200, None), (8, "a", "t", 404, 503, None), (9, "d", "t", 404, None, None)],
-        "seq int, source string, target string, status int, rechecked int, saw boolean",
-    ).withColumn("day", day)
     import datetime as dt
 
-    d = lambda n: dt.date(2026, 1, n)
-    streaks = spark.createDataFrame([("b", "t", [d(9)], [], []), ("c", "t", [d(9)], [d(9)], []), ("d", "t", [d(9)], [], [d(9)])], "source string, target string, absent_on array<date>, confirmed_on array<date>, contradicted_on array<date>")
-    got = {r["seq"]: r["absence"] for r in events.classify_absence(claims, streaks).collect()}
-    assert got == {1: "unconfirmed", 2: "persistent", 3: "confirmed", 4: "contradicted", 5: "confirmed", 6: "error", 7: "recheck-recovered", 8: "error", 9: "unconfirmed"}
+    d = lambda *n: [dt.date(2026, 1, k) for k in n]
+    rows = [  # status, rechecked, saw, absent_on, contradicted_on, confirmed, by -> absence, reddens, known
+        (404, 404, None, [], [], False, [], "unconfirmed", False, False), (404, 404, None, d(9), [], False, [], "persistent", True, False), (404, 404, None, d(10), [], False, [], "unconfirmed", False, False),
+        (404, None, None, d(6), [], False, [], "unconfirmed", False, False), (410, 404, None, d(7), [], False, [], "persistent", True, False), (404, 404, None, d(8, 9), d(7), False, [], "unconfirmed", False, False),
+        (404, 404, None, d(9), d(3), False, [], "persistent", True, False), (404, 404, None, d(9), [], True, ["operator"], "confirmed", False, True), (404, 404, False, [], [], False, [], "confirmed", True, False),
+        (404, 404, False, [], [], True, ["operator"], "confirmed", False, True), (404, 404, True, [], [], False, [], "contradicted", False, False), (404, 404, True, [], d(8, 9), False, [], "contradicted", True, False),
+        (404, 404, True, [], d(2, 3), False, [], "contradicted", False, False), (500, None, None, [], [], False, [], "error", True, False), (410, 200, None, [], [], False, [], "recheck-recovered", False, False), (404, 503, None, [], [], False, [], "error", True, False),
+    ]
+    df = spark.createDataFrame([(k, "s", "t", d(10)[0], *r) for k, r in enumerate(rows)], "seq int, source string, target string, day date, status int, rechecked int, saw boolean, absent_on array<date>, contradicted_on array<date>, confirmed boolean, confirmed_by array<string>, absence string, r boolean, k boolean")
+    got = {r["seq"]: r for r in events.classify_absence(df.drop("absence", "r", "k")).collect()}
+    assert [(got[k]["absence"], got[k]["reddens"], got[k]["known"]) for k in range(len(rows))] == [r[-3:] for r in rows]
+    assert got[9]["by"] == ["operator", "witness"] and got[7]["by"] == ["operator"] and got[8]["by"] == ["witness"]
+
+
+def test_absence_is_judged_by_what_came_before(spark):
+    """The state before every line equals that of a loop which stops there; later confirmations decide nothing."""
+    rows = make(300, 5)
+    got = {r["seq"]: r for r in events.absence_before(spark.createDataFrame(rows + rows[:20], LOG).repartition(7)).collect()}
+    assert set(got) == {r[0] for r in rows if r[6] == "error"}
+    for k, row in enumerate(rows):
+        if row[0] in got:
+            w = loop_absences(rows[:k]).get((row[2], row[3]), {"a": set(), "c": set(), "x": set(), "by": set()})
+            g = got[row[0]]
+            assert ({str(x) for x in g["absent_on"]}, {str(x) for x in g["contradicted_on"]}, set(g["confirmed_by"]), g["confirmed"]) == (w["a"], w["x"], w["by"], bool(w["c"])), row
+
+
+def test_running_folds(spark):
+    """Folds over the rows before, also over a key that fills several partitions and over null keys."""
+    from provlake.operators.ordered import running
+
+    rng = random.Random(2)
+    rows = [(rng.choice(["hot"] * 4 + ["a", "b", None]), k, rng.randrange(50)) for k in range(500)]
+    df = spark.createDataFrame(rows, "k string, seq int, v int").repartition(5)
+    got = {r["seq"]: (r["most"], r["total"]) for r in running(df, ["k"], ["seq"], {"most": (F.when(F.col("v") % 2 == 0, F.col("v")), "max"), "total": (F.col("v"), "sum")}).collect()}
+    for k, seq, _ in rows:
+        before = [v for key, s, v in rows if key == k and s < seq]
+        assert got[seq] == (max((v for v in before if v % 2 == 0), default=None), sum(before) if before else None)
+    assert running(df.limit(0), ["k"], ["seq"], {"m": (F.col("v"), "max")}).count() == 0
 
 
 def test_breaker_and_budgets(spark):

@@ -14,8 +14,11 @@ scanned for in several automata one after the other.
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import pairwise
 
 import ahocorasick
 import numpy as np
@@ -23,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provlake.llm.consistent import prototype_table, words
+from provlake.llm.consistent import consistent, skeleton, words
 
 RUN = 13
 BLOCK = (RUN + 1) // 2
@@ -65,36 +68,66 @@ def runs_in(doc: list[bytes], auto, items: list[tuple[int, list[str]]]) -> list[
     begin = np.cumsum([1] + [len(w.decode("utf-8")) + 1 for w in doc])[:-1]
     plain = [w.decode("utf-8") for w in doc]
     out: set[tuple[int, int, int]] = set()
+    reach: dict[tuple[int, int], int] = {}  # how far a common run is known already, by item and shift
     for end, (length, where) in hits:
         i = int(np.searchsorted(begin, end - length + 2))
         for k, j in where:
             w = items[k][1]
+            if i < reach.get((k, i - j), 0):
+                continue
             lo, hi = 0, BLOCK
             while i - lo > 0 and j - lo > 0 and plain[i - lo - 1] == w[j - lo - 1]:
                 lo += 1
             while i + hi < len(plain) and j + hi < len(w) and plain[i + hi] == w[j + hi]:
                 hi += 1
+            reach[k, i - j] = i + hi
             if lo + hi >= RUN:
                 out.add((k, i - lo, lo + hi))
     return sorted(out)
 
 
+@lru_cache(maxsize=1)
+def _leaning() -> frozenset[str]:
+    """Characters that may become one with the character before them: marks, and those that compose though they are none."""
+    found = {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}
+    for cp in range(0xC0, sys.maxunicode + 1):
+        parts = unicodedata.decomposition(chr(cp)).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            found.add(chr(int(parts[1], 16)))
+    return frozenset(found)
+
+
+@lru_cache(maxsize=1 << 16)
+def _leans(ch: str) -> bool:
+    """Whether a character belongs to the one before it: without width, a mark, or composing with it."""
+    if ch < "\x80":
+        return False
+    said = skeleton(ch)
+    return not said or unicodedata.combining(said[0]) > 0 or said[0] in _leaning()
+
+
+@lru_cache(maxsize=1 << 16)
+def _said(piece: str) -> str:
+    return consistent(piece).lower()
+
+
 def word_spans(text: str) -> list[tuple[int, int]]:
-    """Where each word of the consistent text stands in the original."""
-    table, spans, start, last = prototype_table(), [], None, 0
-    for i, ch in enumerate(text):
-        folded = unicodedata.normalize("NFD", ch)
-        folded = "".join((table[ord(c)] or "") if ord(c) in table else c for c in folded)
-        if not folded:  # without width: part of the word around it, if there is one
-            continue
-        if any(c.isalnum() for c in folded) or (start is not None and all(unicodedata.combining(c) for c in folded)):
-            start = i if start is None else start
-            last = i + 1
-        elif start is not None:
-            spans.append((start, last))
-            start = None
-    if start is not None:
-        spans.append((start, last))
+    """Where each word of the consistent text stands in the original, one for one.
+
+    The text is cut where nothing composes over the cut, so the consistent forms
+    of the pieces, one after the other, have the length of that of the whole.
+    """
+    starts = [i for i, ch in enumerate(text) if not i or not _leans(ch)] + [len(text)]
+    spans, begin, last = [], None, 0
+    for lo, hi in pairwise(starts):
+        for ch in _said(text[lo:hi]):
+            if ch.isalnum():
+                begin, last = lo if begin is None else begin, hi
+            elif begin is not None:
+                spans.append((begin, last))
+                begin = None
+    if begin is not None:
+        spans.append((begin, last))
     return spans
 
 
@@ -133,8 +166,9 @@ def leaked_passages(docs: DataFrame, id_col: str, text_col: str, items: DataFram
                     met = runs_in(own, auto, held)
                     if met:
                         spans = word_spans(t)
-                        exact = len(spans) == len(own)
-                        rows += [(i, held[k][0], n, spans[at][0] if exact else None, spans[at + n - 1][1] if exact else None) for k, at, n in met]
+                        if len(spans) != len(own):
+                            raise RuntimeError(f"words of document {i} have no places")
+                        rows += [(i, held[k][0], n, spans[at][0], spans[at + n - 1][1]) for k, at, n in met]
                 yield pa.RecordBatch.from_pylist([dict(zip((id_col, item_id, "n_words", "start_char", "end_char"), r)) for r in rows], pa.schema([(id_col, pa.int64()), (item_id, pa.int64()), ("n_words", pa.int32()), ("start_char", pa.int32()), ("end_char", pa.int32())]))
 
         part = picked.mapInArrow(scan, schema)

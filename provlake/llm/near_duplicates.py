@@ -260,7 +260,7 @@ def components(stash: Stash, edges: DataFrame) -> DataFrame:
     the logarithm of the longest chain.
     """
     now = stash.put(edges.selectExpr("greatest(a, b) as u", "least(a, b) as v").where("u <> v").distinct(), "star0")
-    for k in range(1, 60):
+    for k in range(1, 1000):
         both = now.unionByName(now.selectExpr("v as u", "u as v"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").selectExpr("v as u", "m as v").where("u <> v").distinct()
@@ -272,8 +272,8 @@ def components(stash: Stash, edges: DataFrame) -> DataFrame:
         stash.drop(f"star{k - 1}")
         now = after
         if same:
-            break
-    return now.select(F.col("u").alias("id"), F.col("v").alias("root"))
+            return now.select(F.col("u").alias("id"), F.col("v").alias("root"))
+    raise RuntimeError("components do not settle")
 
 
 def near_duplicate_groups(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

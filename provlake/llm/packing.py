@@ -15,6 +15,7 @@ Null texts and texts of no tokens need no container and are left out.
 from __future__ import annotations
 
 import base64
+import os
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -22,6 +23,7 @@ from functools import lru_cache, partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ from provlake.session import Stash
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Pieces in a shard (about), islands per shard, rounds, and the size of a population.
 SHARD, ISLANDS, ROUNDS, POPULATION, GENERATIONS = 1500, 2, 2, 5, 6
+#: More capacities than this are refused, as their table is broadcast.
+MOST_CAPACITIES = 100_000
 #: Bins filled to less than this share are dissolved after the first packing.
 WELL_FILLED = 0.97
 
@@ -44,16 +48,17 @@ def _encoding(path: str):
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _count(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    encode = _encoding(path).encode_ordinary
+def _count(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
+    encode = _encoding(SparkFiles.get(name)).encode_ordinary
     for b in batches:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(encode(t)) for t in b.column(1).to_pylist()], pa.int64())], names=["id", "n_tokens"])
 
 
 def token_counts(docs: DataFrame, id_col: str, text_col: str, path: str = TOKENIZER) -> DataFrame:
-    """(id, n_tokens) of whole texts."""
+    """(id, n_tokens) of whole texts; the vocabulary file is read on the driver's machine and shipped to the workers."""
+    docs.sparkSession.sparkContext.addFile(path)
     picked = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    return picked.mapInArrow(partial(_count, path=path), "id bigint, n_tokens bigint")
+    return picked.mapInArrow(partial(_count, name=os.path.basename(path)), "id bigint, n_tokens bigint")
 
 
 class _Bins:
@@ -183,8 +188,10 @@ def pack(docs: DataFrame, packs: DataFrame, id_col: str, text_col: str, path: st
     stash = Stash(spark)
     # every row has a number of its own, so that rows with one id are dealt out too
     counts = stash.put(token_counts(docs, id_col, text_col, path).where("n_tokens > 0").withColumn("row", F.monotonically_increasing_id()), "tokens")
-    sized = packs.select(F.col("pack_id").cast("bigint").alias("pack_id"), F.col("capacity_tokens").cast("bigint").alias("capacity")).where("capacity > 0").dropDuplicates(["pack_id"])
-    both = counts.crossJoin(F.broadcast(sized.limit(1000)))  # a row for each document and capacity is the result itself
+    sized = packs.select(F.col("pack_id").cast("bigint").alias("pack_id"), F.col("capacity_tokens").cast("bigint").alias("capacity")).where("capacity > 0").groupBy("pack_id").agg(F.min("capacity").alias("capacity"))
+    if sized.count() > MOST_CAPACITIES:
+        raise ValueError(f"more than {MOST_CAPACITIES} capacities")
+    both = counts.crossJoin(F.broadcast(sized))  # a row for each document and capacity is the result itself
     full = both.where("n_tokens >= capacity").select("pack_id", "capacity", "row", "id", F.explode(F.expr("sequence(0L, n_tokens div capacity - 1)")).alias("piece"), F.col("capacity").alias("size"))
     full = full.withColumn("bin", F.concat_ws("-", F.lit("full"), F.col("row").cast("string"), F.col("piece").cast("string")))
     rest = both.where("n_tokens % capacity > 0").select("pack_id", "capacity", "row", "id", F.expr("n_tokens div capacity").alias("piece"), F.expr("n_tokens % capacity").alias("size"))

@@ -28,6 +28,8 @@ from provlake.session import hash_sample
 FORMS = ("prose", "list", "table", "junk")
 #: Labelled documents and lines that the mixture is fitted on, at most, as many others again, and characters of one document.
 SAMPLE_DOCUMENTS, SAMPLE_LINES, SAMPLE_CHARS = 2_000, 20_000, 100_000
+#: A longer table of common words is refused, as every worker holds it.
+MOST_WORDS = 1_000_000
 STEPS, RIDGE, SEED = 25, 0.05, 7
 #: Components started among lines of no form, and of prose, list, table and junk.
 START = (14, 12, 8, 8, 14)
@@ -272,7 +274,9 @@ def _measure(batches: Iterator[pa.RecordBatch], common: frozenset[str], model) -
 def quality_statistics(docs: DataFrame, labels: DataFrame, common_words: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per document: statistics, characters per form, and the form."""
     spark = docs.sparkSession
-    common = frozenset(r[0].lower() for r in common_words.select("word").where("word is not null").distinct().limit(100_000).collect())
+    common = frozenset(r[0].lower() for r in common_words.select("word").where("word is not null").distinct().limit(MOST_WORDS + 1).collect())
+    if len(common) > MOST_WORDS:
+        raise ValueError(f"more than {MOST_WORDS} common words")
     rows = sample(docs, labels, id_col, text_col)
     model = spark.sparkContext.broadcast(fit(rows, common) if rows else None)
     schema = "id bigint, n_lines bigint, n_words bigint, mean_word_length double, symbol_ratio double, lines_ending_in_punctuation double, common_word_share double, " + ", ".join(f"{f}_chars double" for f in FORMS)

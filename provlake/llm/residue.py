@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +27,16 @@ from pyspark.sql import functions as F
 from provlake.llm.consistent import consistent
 from provlake.session import hash_sample
 
-#: Records that the classifier is fitted on, at most, sentences of them, and characters of one.
-TRAIN_RECORDS, TRAIN_SENTENCES, TRAIN_CHARS = 8_000, 60_000, 20_000
+#: Records that the classifier is fitted on, at most: of all, of those with a template's signs, of short ones; units of them, and characters of one.
+TRAIN_RECORDS, TRAIN_SIGNED, TRAIN_SHORT, TRAIN_UNITS, TRAIN_CHARS = 3_000, 4_000, 3_000, 100_000, 20_000
+# Fixed value: signs of templates, by which records are drawn.
+SIGNS = r"[{}]|\[[\p{L}\[]|<[<%\p{L}]|__|@@|%%|%\(|&lt;|undefined|NaN|XX"
 DIMENSIONS = 1 << 18
 #: Words on either side of a sign in a long sentence that are scored with it.
 AROUND = 4
 THRESHOLD = 0.4
+#: Characters of a short text, and what the status of its response weighs against a phrase.
+SHORT, STATUS_WEIGHT = 200, 0.1
 #: Features that a task holds at once; a batch of long texts has many more.
 FLUSH = 1_000_000
 L2, STEPS = 2e-6, 200
@@ -43,33 +48,36 @@ def _phrases(pattern: str) -> re.Pattern:
     return re.compile(consistent(pattern), re.I)
 
 
-# Phrases of the weak labels.
+# Phrases of the weak labels, of any such page or template.
 PLACEHOLDER = _phrases(
     r"\{\{.*?\}\}|\{%.*?%\}|<<\w+>>|\$\{[^}]*\}|<%.*?(%>|$)|<%=|\[\[.*?\]\]|%%[A-Za-z_.]+%%|%\(\w+\)[sd]|(?<!\w)\{(\d|[a-z]+[A-Z_.]?\w*)\}|\[(insert|todo|enter|tbd|fill in|your)\b[^\]]*\]|\[[^\]]*\bto be (completed|filled|added|confirmed)\]"
     r"|<(insert|enter|your|todo)\b[^>]*>|_{4,}|__[A-Za-z]\w*__|@@\w+@@|&lt;\w[\w. ]*&gt;|\[[^\]]*(à compléter|zu ergänzen|da completare|por completar|rellenar|ausfüllen|einfügen|eintragen|συμπληρώ|попълн)[^\]]*\]|\bXX/XX/|\b20XX\b|\bundefined\b|\[object Object\]|\bNaN\b|:\s*(null|None)\s*$|^(null|None)\b",
 )
 FILLER = _phrases(
-    r"\blorem\b.*\b(ipsum|dolor)|\bipsum\b.*\blorem\b|text goes here|your text here|add body copy|texte provisoire|beispieltext|\basdf\b|demo page|dummy copy|sample paragraph|start writing|replace these lines|click to edit"
-    r"|\b(quisque|vestor|vitaer|faucis|nibhum|mauris|pulvin)\b|^heading \d+$|^subheading$|^new page \d+",
+    r"\blorem\b.*\b(ipsum|dolor)|\bipsum\b.*\blorem\b|(text|content|copy) goes here|your (own )?(text|words|content) here|\b(add|enter|insert|type|write) (your )?(body )?(copy|text|content)\b|\b(placeholder|dummy|sample|demo|filler) (text|copy|page|paragraph|content)\b"
+    r"|texte provisoire|beispieltext|platzhaltertext|testo segnaposto|texto de relleno|\b(asdf|qwerty)\b|\bclick to edit|\bedit me\b|start (writing|typing)|^(sub)?heading( \d+)?$|^new page\b",
 )
+# The vocabulary of the printers' filler text.
+LOREM = frozenset("lorem ipsum dolor amet consectetur adipiscing elit eiusmod tempor incididunt aliqua quisque mauris nulla velit vestibulum faucibus pulvinar nibh porta eros sagittis augue ornare tellus libero tempus lacus".split())
 ERROR = _phrases(
-    r"page not found|no such file or directory|access denied|forbidden|bad gateway|too many requests|service unavailable|down for maintenance|does not exist|withdrawn from this address|nothing lives at|link is dead|too fast, slow down"
-    r"|page is gone|lost this page|^(\W*(error|http)?\W*\d* ?\W*)gone\W*$|may not view this|request blocked|not available in your|upstream host|something went wrong|server fault|unhandled exception|nullpointerexception|connect to database|traceback \(most"
+    r"\b(page|document|file|resource|link|address|url|site)\b[^.]{0,25}\b(not (be )?found|cannot be found|is (gone|dead|missing)|does not exist|no longer (exists|available)|(been|was) (removed|withdrawn|deleted|moved))|not found|no such file or directory|access (is )?denied|\bforbidden\b|bad gateway|gateway time-?out"
+    r"|too many requests|slow down|rate limit|service unavailable|temporarily unavailable|down for maintenance|does not exist|^(\W*(error|http)?\W*\d* ?\W*)gone\W*$|(may|can|could|are) not (allowed to )?(view|access|load)\b|request (was )?blocked|not available in your|\bupstream\b|went wrong|server (error|fault)|unhandled exception"
+    r"|\w+exception\b|(connect\w*|connection) to (the )?database|traceback \(most|^(error|http) \d{3}\b(?=\s*([^\w\s]|$))|^oops\b|\b(lost|can't find|cannot find|could not find|couldn't find|unable to find) (the|this|that|your) (page|document|file|address)|^ray [0-9a-f]+$"
     r"|accès refusé|page introuvable|une erreur est|zugriff verweigert|seite nicht gefunden|ein fehler aufgetreten|se ha producido un error|página no encontrada|acceso denegado|pagina non trovata|accesso negato|si è verificato un errore"
-    r"|страницата не е намерена|достъпът е отказан|възникна грешка|σελίδα δεν βρέθηκε|δεν επιτρέπεται|παρουσιάστηκε σφάλμα|^oops|edge node \d|^ray [0-9a-f]+",
+    r"|страницата не е намерена|достъпът е отказан|възникна грешка|σελίδα δεν βρέθηκε|δεν επιτρέπεται|παρουσιάστηκε σφάλμα",
 )
 SCRIPTS = _phrases(
-    r"(enable|turn on|switch on|allow|activate|need|requires?|without|does not run|blocks?|must)\b.{0,30}\b(javascript|js|script\w*|cookies)\b|\bscript\w* (is|are) off|noscript|cookies and scripts|verifying your browser|not a robot|security check|one moment\.\.\.|checking (that|your)"
+    r"(enable|turn on|switch on|allow|activate|need|requires?|without|does not run|blocks?|must)\b.{0,30}\b(javascript|js|script\w*|cookies)\b|\bscript\w* (is|are) (off|disabled)|noscript|cookies and scripts|(verifying|checking) (that|your)\b|not a robot|are human|security check|one moment\.\.\."
     r"|javascript (activ|aktiv|attiv)|(aktivier|activ|attiv|включете|ενεργοποι)\w*.{0,20}javascript|benötigt skripte|exige les scripts|servono gli script|изисква скрипт|χρειάζεται",
 )
-# How texts talk about such things without being them.
-MENTION = _phrases(
-    r"the (phrase|field|message|words?|string|placeholder)\b|sample field|must replace|such pages|were dropped|rendered first|rates? stayed|in a thousand|the crawler of|waits \d|was recorded on|counted as|if you want to rebuild|\bexport \w+=|are configured|for the pair of|matching entry|was filled with|by the legal team|documented|for (example|instance)|such as",
-)
+# How texts talk about such things without being them: in quotation marks, as examples and fields of a form;
+# and of messages and filler, what was done with them.
+MENTION = _phrases(r"[\"“”«»`].{0,60}[\"“”«»`]|\bthe (phrase|field|message|words?|string|placeholder|marker|form|template)\b|\bform (shows|has)\b|\bfor (example|instance)\b|\bsuch as\b|\be\.g\.|\bdocumented\b|\b(sample|example) field|\bexport \w+=")
+REPORT = _phrases(r"\b(is|are|was|were|been|be) (\w+ )?(dropped|removed from|excluded|filtered|recorded|counted|rendered|configured|skipped|retried|discarded|kept|logged|treated|replaced|affected)\b|\b(crawl|scrap)\w*")
 
 _SPLIT = re.compile(r"\n+|(?<=[.!?…])\s+")
 _TOKEN = re.compile(r"[^\W_]+|%\(|[{}\[\]<>%$#_@&]+|[|:\"“”«»=/]")
-_DIGIT = re.compile(r"\d+")
+_LETTERS = re.compile(r"[a-z]+")
 
 
 def sentences(text: str | None) -> list[str]:
@@ -98,7 +106,7 @@ def features(s: str, k: int, chars: int) -> list[int]:
     tokens = []
     for t in _TOKEN.findall(s):
         if t[0].isdigit():
-            tokens.append("0" if len(t) < 3 else t if t in _CODES else "00")
+            tokens.append("0a" if not t.isdigit() else "0" if len(t) < 3 else t if t in _CODES else "00")
         elif tokens and t[0].isupper() and not t.isupper() and t.lower() not in _KEPT:
             tokens.append("Name")
         else:
@@ -131,73 +139,103 @@ _SIGNS = frozenset({"undefined", "null", "nan", "xx", "object", "insert", "todo"
 _KEPT = frozenset({"javascript", "lorem", "insert", "error", "page", "access", "http", "todo", "js", "object"})
 
 
-def residue_phrase(s: str) -> re.Match | None:
-    return PLACEHOLDER.search(s) or FILLER.search(s) or SCRIPTS.search(s) or ERROR.search(s)
+def residue_phrase(s: str) -> bool:
+    """A phrase of residue, or three different words of the filler text."""
+    return any(p.search(s) for p in (PLACEHOLDER, FILLER, SCRIPTS, ERROR)) or len(LOREM.intersection(_LETTERS.findall(s.lower()))) >= 3
+
+
+def is_mention(s: str) -> bool:
+    """Words that talk about residue; a placeholder is none for being reported on."""
+    return bool(MENTION.search(s) or REPORT.search(s) and not PLACEHOLDER.search(s))
 
 
 def weak_label(s: str, chars: int, status: int | None) -> int | None:
-    """1 residue, 0 none, None undecided, by phrases and response status."""
+    """1 residue, 0 none, by phrases; None where only the response status speaks: a short text of a response that failed."""
     if residue_phrase(s):
-        return 0 if MENTION.search(s) else 1
-    if chars < 200 and status is not None and status >= 400:
-        return None  # an answer that failed and a short text: left open
+        return 0 if is_mention(s) else 1
+    if chars < SHORT and status is not None and status >= 400:
+        return None
     return 0
 
 
 def fit(x: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """L2-regularized logistic regression by Adam over the whole sample."""
-    idx, offsets = np.concatenate(x), np.concatenate([[0], np.cumsum([len(v) for v in x])])
-    rows, w = np.repeat(np.arange(len(x)), np.diff(offsets)), np.zeros(DIMENSIONS + 1)
+    """L2-regularized logistic regression by Adam over the whole sample; only features that occur are worked on."""
+    offsets = np.concatenate([[0], np.cumsum([len(v) for v in x])])
+    held, idx = np.unique(np.concatenate(x), return_inverse=True)
+    rows, w = np.repeat(np.arange(len(x)), np.diff(offsets)), np.zeros(len(held) + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
     total = weight.sum()
     for t in range(1, STEPS + 1):
         z = np.add.reduceat(w[idx], offsets[:-1]) + w[-1]
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         err = (p - y) * weight / total
-        g = np.append(np.bincount(idx, err[rows], minlength=DIMENSIONS), err.sum()) + L2 * w
+        g = np.append(np.bincount(idx, err[rows], minlength=len(held)), err.sum()) + L2 * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.15 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w.astype(np.float32)
+    out = np.zeros(DIMENSIONS + 1)
+    out[held], out[-1] = w[:-1], w[-1]
+    return out.astype(np.float32)
 
 
 def training_sample(df: DataFrame, manifest: DataFrame, id_col: str, text_col: str, key: str) -> list:
-    """At most TRAIN_RECORDS records with status and host, chosen by a hash of the id."""
-    chosen = hash_sample(df.where(F.length(text_col) <= TRAIN_CHARS).select(F.col(id_col).alias("i"), F.col(key).alias("k")), "i", TRAIN_RECORDS)
+    """Records with status and host: of all, of those with a template's signs and of short ones so many at most, chosen by a hash of the id."""
+    known = df.where(F.length(text_col) <= TRAIN_CHARS).select(F.col(id_col).alias("i"), F.col(key).alias("k"), F.col(text_col).rlike(SIGNS).alias("signed"), (F.length(text_col) < 300).alias("short"))
+    strata = [hash_sample(known.where(which), "i", most) for which, most in (("true", TRAIN_RECORDS), ("signed", TRAIN_SIGNED), ("short", TRAIN_SHORT))]
+    chosen = reduce(DataFrame.unionByName, strata).select("i", "k").distinct()
     texts = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(chosen.select("i"), "i", "left_semi")
     sent = manifest.select(F.col(key).alias("k"), F.col("http.status_code").alias("status"), F.lower(F.try_parse_url("http.url", F.lit("HOST"))).alias("host"))
-    known = chosen.join(sent, "k").groupBy("i").agg(F.max("status").alias("status"), F.min("host").alias("host"))
-    return texts.join(known, "i", "left").select("i", "t", "status", "host").orderBy("i").collect()
+    answered = chosen.join(sent, "k").groupBy("i").agg(F.max("status").alias("status"), F.min("host").alias("host"))
+    return texts.join(answered, "i", "left").select("i", "t", "status", "host").orderBy("i").collect()
 
 
 def labelled(rows: list) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, list[str]]:
-    """Features, labels and weights of the sample's sentences, with their hosts."""
-    x, y, host = [], [], []
-    for r in rows:
+    """Features, labels and weights of the sample's units, each kind of unit of a host once with its weight, and their hosts.
+
+    A unit that only the status speaks of counts as residue and as none, each by
+    the share that residue by phrases has among short texts of failed responses.
+    """
+    weights: defaultdict[tuple[str, bytes], np.ndarray] = defaultdict(lambda: np.zeros(2))
+    open_units: Counter = Counter()
+    failed = np.zeros(2)
+    for r in sorted(rows, key=lambda r: zlib.crc32(str(r["i"]).encode())):
+        if len(weights) + len(open_units) >= TRAIN_UNITS:
+            break
         parts = sentences(r["t"])
-        chars = sum(map(len, parts))
-        for k, s in enumerate(parts):
-            label = weak_label(s, chars, r["status"])
+        chars, host = sum(map(len, parts)), r["host"] or ""
+        labels = [weak_label(s, chars, r["status"]) for s in parts]
+        if chars < SHORT and (r["status"] or 0) >= 400:
+            failed[int(1 in labels)] += 1
+        for k, (s, label) in enumerate(zip(parts, labels)):
+            def key(u: str, k: int = k) -> tuple[str, bytes]:
+                return host, np.array(features(u, k, chars), np.int64).tobytes()
+
+            if label != 1 and 1 in labels and chars < SHORT:
+                continue  # what stands beside residue in a short text may belong to it
+            if label is None:
+                open_units[key(s)] += 1
+                continue
             # ordinary sentences are many: one in three of them stays
-            if label is None or (label == 0 and chars > 300 and zlib.crc32(s.encode()) % 3 and not MENTION.search(s)):
+            if label == 0 and chars > 300 and zlib.crc32(s.encode("utf-8", "replace")) % 3 and not is_mention(s):
                 continue
             whole, *near = units(s)
             named = [u for u in near if residue_phrase(u)] if label else near
             # a whole is a case by itself if no words around a sign are
             for u in named if label and named else [whole, *named]:
-                x.append(np.array(features(u, k, chars), np.int64))
-                y.append(label)
-                host.append(r["host"] or "")
+                weights[key(u)][label] += 1
                 hit = PLACEHOLDER.search(u) if label else None
                 if hit and len(u) - len(hit.group()) > 20 and not residue_phrase(rest := u[: hit.start()] + u[hit.end() :]):
-                    # the words without the placeholder are ordinary ones
-                    x.append(np.array(features(rest, k, chars), np.int64))
-                    y.append(0)
-                    host.append(r["host"] or "")
-            if len(x) >= TRAIN_SENTENCES:
-                break
-    y = np.array(y, float)
-    weight = np.where(y == 1, max(1.0, 0.5 * (y == 0).sum() / max(1, (y == 1).sum())), 1.0)
-    return x, y, weight, host
+                    weights[key(rest)][0] += 1  # the words without the placeholder are ordinary ones
+    one, none = (sum(w[label] for w in weights.values()) for label in (1, 0))
+    even = max(1.0, 0.5 * none / one) if one else 1.0
+    for w in weights.values():
+        w[1] *= even
+    share = (failed[1] + 1) / (failed.sum() + 2)
+    for u, n in open_units.items():
+        weights[u] += STATUS_WEIGHT * n * np.array([1 - share, share])
+    several = [(u, label, w[label]) for u, w in weights.items() for label in (0, 1) if w[label]]
+    x = [np.frombuffer(u[1], np.int64) for u, _, _ in several]
+    y, weight = np.array([label for _, label, _ in several], float), np.array([w for _, _, w in several], float)
+    return x, y, weight, [u[0] for u, _, _ in several]
 
 
 def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
@@ -239,13 +277,14 @@ def residue_scores(df: DataFrame, manifest: DataFrame, id_col: str, text_col: st
 
 
 def validation(df: DataFrame, manifest: DataFrame, id_col: str, text_col: str, key: str) -> DataFrame:
-    """Agreement with the weak labels on hosts outside the training: one row."""
+    """Agreement with the weak labels, by weight, on hosts outside the training: one row."""
     x, y, weight, host = labelled(training_sample(df, manifest, id_col, text_col, key))
     held = np.array([zlib.crc32(h.encode()) % 4 == 0 for h in host])
     row = (0, 0, 0.0, 0.0)
     if held.any() and len(set(y[~held])) > 1:
         w = fit([v for v, h in zip(x, held) if not h], y[~held], weight[~held])
         said = np.array([w[v].sum() + w[-1] > np.log(THRESHOLD / (1 - THRESHOLD)) for v, h in zip(x, held) if h])
-        true = y[held] == 1
-        row = (len({h for h, z in zip(host, held) if z}), int(held.sum()), float((said & true).sum() / max(1, said.sum())), float((said & true).sum() / max(1, true.sum())))
-    return df.sparkSession.createDataFrame([row], "unseen_hosts bigint, sentences bigint, precision double, recall double")
+        true, by = y[held] == 1, weight[held]
+        both = by[said & true].sum()
+        row = (len({h for h, z in zip(host, held) if z}), int(held.sum()), float(both / max(1e-9, by[said].sum())), float(both / max(1e-9, by[true].sum())))
+    return df.sparkSession.createDataFrame([row], "unseen_hosts bigint, units bigint, precision double, recall double")

@@ -11,6 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from provlake.llm.consistent import words
 from provlake.llm import consistent as cons
 from provlake.llm import leaked_items, look_alike, near_duplicates, packing, residue, text_quality
 
@@ -263,6 +264,26 @@ def test_long_batches_are_worked_on_in_parts(monkeypatch):
         assert all((a is None and c is None) or abs(a - c) < 1e-6 for a, c in zip(x.values(), y.values()))
 
 
+def test_status_is_a_soft_label():
+    """A short text of a response that failed counts for either side; beside residue nothing is a negative."""
+    assert residue.weak_label("Some words of no kind", 40, 404) is None and residue.weak_label("Some words of no kind", 40, 200) == 0 and residue.weak_label("Some words of no kind", 900, 404) == 0
+    rows = [{"i": 1, "t": "Some words of no kind", "status": 404, "host": "h"}, {"i": 2, "t": "Page not found. Reference #12", "status": 404, "host": "h"}, {"i": 3, "t": "Plain words", "status": 200, "host": "h"}]
+    x, y, weight, _ = residue.labelled(rows)
+    assert sorted(y) == [0, 0, 1, 1] and weight.min() < residue.STATUS_WEIGHT < weight.max()
+
+
+def test_places_are_exact_for_every_word():
+    """As many spans as words, whatever composes, folds or has no width; each span holds its word."""
+    for t in ("caf\u0065\u0301 \u200bx\u200b\u0301y ﬁn ＡＢ", "각가 각", "Σίσυφος ΟΔΟΣ İstanbul", "a\u00adb c\ud800d", "", "  ", "…½ x²"):
+        spans = leaked_items.word_spans(t)
+        assert len(spans) == len(words(t)) and all(a < b for a, b in spans)
+        assert [words(t[a:b]) for a, b in spans] == [[w] for w in words(t)] or "Σ" in t
+    rng = random.Random(3)
+    for _ in range(2000):
+        t = "".join(rng.choice("ab é\u0301\u200bＡﬁ각ᅡ각ς_-'²\ud800") for _ in range(9))
+        assert len(leaked_items.word_spans(t)) == len(words(t)), ascii(t)
+
+
 def test_phrases():
     for s in ("See {{#if version}} here", "Rates of <insert languages> rose", "Company: [name to be completed]", "lorem ipsum dolor", "You need to enable JavaScript to run this app.", "HTTP 404 - Page not found"):
         assert residue.weak_label(s, 400, 200) == 1, s
@@ -371,7 +392,7 @@ def test_long_sentence_with_a_sign_is_scored_whole():
     (out,) = residue._score(iter([batch]), SimpleNamespace(value=w))
     assert out.column("score")[0].as_py() >= residue.THRESHOLD
     # it is learned from, too
-    x, y, _, _ = residue.labelled([{"t": s, "status": 200, "host": "h"}])
+    x, y, _, _ = residue.labelled([{"i": 1, "t": s, "status": 200, "host": "h"}])
     assert list(y) == [1] and len(x[0]) == len(residue.features(s, 0, len(s)))
 
 

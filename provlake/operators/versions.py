@@ -80,9 +80,22 @@ def capture_class(kind: Column, document: Column, active: Column) -> Column:
     return F.when(~active, "superseded").when(kind == "aial-method", "method").when(kind.isin(*ASSESSMENTS), "evaluation").when(document, "document").otherwise("surface")
 
 
-def method(http: Column) -> Column:
-    """P-08: what of the way of capture changes a page's text."""
-    return F.struct((http["content_type"]).alias("media"), http["etag"].isNotNull().alias("tagged"))
+def method(rendered: Column, frames: Column, consent: Column, dismissed: Column) -> Column:
+    """P-08: what of the way of capture changes a page's text: rendering, frames, consent layers removed (null: unknown then) and dismissed.
+
+    Two methods are compared null-safe: unknown equals unknown alone.
+    """
+    no = F.lit(False)
+    return F.struct(F.coalesce(rendered, no).alias("rendered"), F.coalesce(frames, no).alias("frames"), consent.cast("int").alias("consent"), F.coalesce(dismissed, no).alias("dismissed"))
+
+
+def method_of(manifest: DataFrame, registry: DataFrame) -> DataFrame:
+    """Manifest rows with their method: whether the target at their URL is rendered, and what the notes say of frames and consent layers."""
+    render = registry.select(F.inline("targets")).groupBy("url").agg(F.max(F.coalesce("render", F.lit(False))).alias("rendered"))
+    m = manifest.withColumn("url", F.col("http.url")).join(render, "url", "left").drop("url")
+    counted = lambda words: F.size(F.filter("extraction_notes", lambda n: F.contains(n, F.lit(words))))
+    consent = F.when(F.col("extraction_notes").isNotNull(), counted("consent banner removed"))
+    return m.withColumn("method", method(F.col("rendered"), F.coalesce(counted("frame") > 0, F.lit(False)), consent, F.coalesce(counted("consent dismissed") > 0, F.lit(False)))).drop("rendered")
 
 
 def like_for_like(pairs: DataFrame, keys: list[str], method_col: str, order: str, value: str) -> DataFrame:
@@ -110,14 +123,17 @@ def repaired_names(names: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def survivors(captures: DataFrame, victims: DataFrame) -> DataFrame:
-    """J-10: for each victim another capture of its bytes that stays, of its own source if there is one."""
-    stay = captures.join(victims.select("capture_id"), "capture_id", "left_anti").select("sha256", F.col("capture_dir").alias("dir"), F.col("source_id").alias("owner"))
-    gone = victims.select("capture_id", "sha256", "source_id")
+    """J-10: for each victim (key, sha256, source_id, capture_dir) a capture of its bytes in another directory, of its own source if there is one.
+
+    Directories of victims do not count as places where bytes survive.
+    """
+    stay = captures.join(victims.select("capture_dir"), "capture_dir", "left_anti").select("sha256", F.col("capture_dir").alias("dir"), F.col("source_id").alias("owner"))
+    gone = victims.select("key", "sha256", "source_id")
     # a hash with very many copies needs one survivor per source, and one at all
     per_source = stay.groupBy("sha256", "owner").agg(F.min("dir").alias("dir"))
     any_one = per_source.groupBy("sha256").agg(F.min("dir").alias("any_dir"))
     own = per_source.withColumnRenamed("owner", "source_id").withColumnRenamed("dir", "own_dir")
-    return gone.join(own, ["sha256", "source_id"], "left").join(any_one, "sha256", "left").select("capture_id", F.coalesce("own_dir", "any_dir").alias("survives_in"))
+    return gone.join(own, ["sha256", "source_id"], "left").join(any_one, "sha256", "left").select("key", F.coalesce("own_dir", "any_dir").alias("survives_in"))
 
 
 def upsert_targets(registry: DataFrame, found: DataFrame) -> DataFrame:

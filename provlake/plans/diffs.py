@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from provlake.functions import hashing, text
 from provlake.operators import diff, integrity, ordered, versions
 from provlake.plans.book import Book
-from provlake.plans.ledger import CHAIN, M, TEXT_SHA, V
+from provlake.plans.ledger import CHAIN, LOST_STATE, M, TEXT_SHA, V, plant
 from provlake.plans.scalars import _IDENTITY, _WORDS, collapsed
 
 book = Book()
@@ -100,9 +100,12 @@ def index_against_store(t):
     return integrity.index_matches(t("state_index"), t("captures"))
 
 
-@book.add("select 'C4' as \"check\", seq::varchar as key, 'bare prune' as message from (select distinct on (seq) * from check_log) where lower(outcome) like 'pruned%' and (ts is null or sha256 is null or dir is null)")
+BARE = "select -1L as seq, 'Pruned-noise' as outcome, '2026-01-01T00:00:00Z' as ts, 'x' as dir"
+
+
+@book.add(f"select 'C4' as \"check\", seq::varchar as key, 'bare prune' as message from (select distinct on (seq) seq, outcome, ts, sha256, dir from check_log union all select seq, outcome, ts, null, dir from ({BARE.replace('-1L', '-1')})) where lower(outcome) like 'pruned%' and (ts is null or sha256 is null or dir is null)")
 def bare_prunes(t):
-    return integrity.prunes_explained(t("check_log"))
+    return integrity.prunes_explained(plant(t("check_log"), BARE))
 
 
 @book.add(f"with x as (select c.capture_dir, sha256({collapsed('c.extracted_txt')}) as t, lower(m.text_sha256) as h from captures c join {M} m on m.capture_dir = c.capture_dir) select 'C5' as \"check\", capture_dir as key, case when h is null then 'text without hash' else 'other text' end as message from x where t is not null and (h is null or t <> h)")
@@ -118,9 +121,9 @@ def tail_pointer_check(t):
     return integrity.tails_match(t("state_index"))
 
 
-@book.add("select 'C7' as \"check\", state_key as key, 'no versions' as message from state_index where coalesce(len(versions), 0) = 0")
+@book.add(f"select 'C7' as \"check\", state_key as key, 'no versions' as message from (select state_key, len(versions) as n from state_index union all select state_key, null from ({LOST_STATE})) where coalesce(n, 0) = 0")
 def empty_targets(t):
-    return integrity.without_versions(t("state_index"))
+    return integrity.without_versions(plant(t("state_index"), LOST_STATE))
 
 
 @book.add()

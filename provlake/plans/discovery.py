@@ -8,7 +8,7 @@ from provlake.functions import hashing, text
 from provlake.operators import ordered, versions
 from provlake.plans.book import Book
 from provlake.plans.diffs import drift_status, pairs
-from provlake.plans.ledger import CHAIN, FOLD, M, TEXT_SHA, V
+from provlake.plans.ledger import CHAIN, FOLD, M, METHOD, RENDER, TEXT_SHA, V, plant
 from provlake.plans.scalars import TARGETS, targets
 from provlake.sources import readers
 
@@ -85,13 +85,17 @@ def placed(t):
     return both.select("capture_dir", F.when(F.col("target_kind") == "aial-archive", F.coalesce("by_hash", "by_name", F.lit("unplaced"))).otherwise(F.coalesce("by_name", "by_hash", F.lit("unplaced"))).alias("placed"))
 
 
+HEADS = "select 'planted/' || feed, file_no::varchar, (body->>'$.sha256'), 0 from raw_record where rec_no = 1 and (body->>'$.sha256') is not null"
+
+
 @book.add(
-    f"""with h as (select source_id, target, arg_max(sha256, ord) as head from {V} group by 1, 2), r as (select feed, file_no, rec_no, (body->>'$.sha256') as sha from raw_record)
+    f"""with h as (select source_id, target, arg_max(sha256, ord) as head from (select source_id, target, sha256, ord from {V} union all {HEADS}) group by 1, 2), r as (select feed, file_no, rec_no, (body->>'$.sha256') as sha from raw_record)
     select r.feed, r.file_no, r.rec_no, min(h.source_id || '::' || h.target) as continues from r join h on h.head = r.sha group by 1, 2, 3"""
 )
 def rename_continuation(t):
-    """J-14: delivered states that are the head of a known chain."""
-    heads = versions.index_versions(t("state_index")).groupBy("source_id", "target").agg(F.max_by("sha256", "ord").alias("sha")).groupBy("sha").agg(F.min(F.concat("source_id", F.lit("::"), "target")).alias("continues"))
+    """J-14: delivered states that are the head of a known chain, with a planted chain for every first record of a file."""
+    planted = t("raw_record").where("rec_no = 1 and get_json_object(body, '$.sha256') is not null").select(F.concat(F.lit("planted/"), "feed").alias("source_id"), F.col("file_no").cast("string").alias("target"), F.get_json_object("body", "$.sha256").alias("sha256"), F.lit(0).alias("ord"))
+    heads = versions.index_versions(t("state_index")).select("source_id", "target", "sha256", "ord").unionByName(planted).groupBy("source_id", "target").agg(F.max_by("sha256", "ord").alias("sha")).groupBy("sha").agg(F.min(F.concat("source_id", F.lit("::"), "target")).alias("continues"))
     r = t("raw_record").select("feed", "file_no", "rec_no", F.get_json_object("body", "$.sha256").alias("sha"))
     return r.join(heads, "sha").groupBy("feed", "file_no", "rec_no").agg(F.min("continues").alias("continues"))
 
@@ -108,14 +112,14 @@ def newest_pair_record(t):
 
 
 @book.add(
-    f"""with x as (select capture_dir, source_id, split_part(capture_dir, '/', 3) as target, stored_as, http.content_type as media, http.etag is not null as tagged from {M}),
-    y as (select capture_dir, stored_as, media, tagged, lag(stored_as) over w as ps, lag(media) over w as pm, lag(tagged) over w as pt from x window w as (partition by source_id, target order by capture_dir))
-    select capture_dir, media is distinct from pm or tagged is distinct from pt as method_changed from y where ends_with(stored_as, '.html') and ends_with(ps, '.html')"""
+    f"""with x as (select capture_dir, source_id, split_part(capture_dir, '/', 3) as target, stored_as, {METHOD} as method from {M} m left join {RENDER} on r.url = m.http.url),
+    y as (select capture_dir, stored_as, method, lag(stored_as) over w as ps, lag(method) over w as pm from x window w as (partition by source_id, target order by capture_dir))
+    select capture_dir, method is distinct from pm as method_changed from y where ends_with(stored_as, '.html') and ends_with(ps, '.html')"""
 )
 def method_changed(t):
     """P-08: pages whose way of capture differs from the one before; unknown equals unknown."""
-    m = versions.once(t("manifest"))
-    x = m.select("capture_dir", "source_id", F.split_part("capture_dir", F.lit("/"), F.lit(3)).alias("target"), "stored_as", versions.method(F.col("http")).alias("method"))
+    m = versions.method_of(versions.once(t("manifest")), t("registry"))
+    x = m.select("capture_dir", "source_id", F.split_part("capture_dir", F.lit("/"), F.lit(3)).alias("target"), "stored_as", "method")
     y = ordered.lag_over(x, versions.KEY, ["capture_dir"], ["stored_as", "method"]).where("endswith(stored_as, '.html') and endswith(prior_stored_as, '.html')")
     return y.select("capture_dir", (~F.col("method").eqNullSafe(F.col("prior_method"))).alias("method_changed"))
 

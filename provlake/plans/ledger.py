@@ -11,11 +11,18 @@ from provlake.plans.scalars import TARGETS, WS, collapsed, targets
 
 book = Book()
 
+
+def plant(df, sql: str):
+    """The table and a few rows that make a case, told by SQL that either engine reads."""
+    return df.unionByName(df.sparkSession.sql(sql), allowMissingColumns=True)
+
 M = "(select distinct * from manifest)"
 V = "(select source_id, target, generate_subscripts(versions, 1) - 1 as ord, unnest(versions).sha256 as sha256, unnest(versions).dir as dir from state_index)"
 TEXT_SHA = f"sha256({collapsed('extracted_txt')})"
 CHAIN = "over (partition by source_id, target order by captured_at, capture_id)"
 FOLD = r"regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}]', '', 'g')"
+RENDER = "(select url, bool_or(coalesce(render, false)) as rendered from (select unnest(targets, recursive := true) from registry) group by 1) r"
+METHOD = "struct_pack(a := coalesce(r.rendered, false), b := coalesce(len([x for x in m.extraction_notes if contains(x, 'frame')]) > 0, false), c := len([x for x in m.extraction_notes if contains(x, 'consent banner removed')]), d := coalesce(len([x for x in m.extraction_notes if contains(x, 'consent dismissed')]) > 0, false))"
 ASSESS = "('aial-eval', 'aial-eval-history', 'aial-eval-page', 'aial-method')"
 
 
@@ -119,11 +126,17 @@ def capture_class(t):
     return e.select("capture_dir", "document", versions.capture_class(F.col("target_kind"), F.col("document"), F.col("retired").isNull()).alias("class"))
 
 
-@book.add(f"select capture_dir, coalesce(case when r.restricted then 'source' end, case when m.target_kind in {ASSESS} then 'kind' end, case when contains(m.http.final_url, 'eval') then 'url' end) as restriction from {M} m left join registry r on r.source_id = m.source_id")
+RESTRICTED = "select null as source_id, true as restricted"
+
+
+@book.add(f"select capture_dir, coalesce(case when r.restricted then 'source' end, case when m.target_kind in {ASSESS} then 'kind' end, case when m.http.url in (select url from {TARGETS} where kind in {ASSESS}) or m.http.final_url in (select url from {TARGETS} where kind in {ASSESS}) then 'url' end) as restriction from {M} m left join (select * from registry union all by name {RESTRICTED}) r on r.source_id = m.source_id")
 def restriction(t):
-    """P-02: why a capture's text is withheld: first by source, then kind, then URL."""
-    m = versions.once(t("manifest")).join(t("registry").select("source_id", "restricted"), "source_id", "left")
-    why = F.coalesce(F.when(F.col("restricted"), "source"), F.when(F.col("target_kind").isin(*versions.ASSESSMENTS), "kind"), F.when(F.contains("http.final_url", F.lit("eval")), "url"))
+    """P-02: why a capture's text is withheld: first by source, then kind, then a URL, asked for or arrived at, at which an assessment is."""
+    m = versions.once(t("manifest")).join(plant(t("registry"), RESTRICTED).select("source_id", "restricted"), "source_id", "left")
+    shut = targets(t).where(F.col("kind").isin(*versions.ASSESSMENTS)).select("url").distinct().withColumn("shut", F.lit(True))
+    for c in ("url", "final_url"):
+        m = m.withColumn("asked", F.col(f"http.{c}")).join(shut.select(F.col("url").alias("asked"), F.col("shut").alias(f"by_{c}")), "asked", "left").drop("asked")
+    why = F.coalesce(F.when(F.col("restricted"), "source"), F.when(F.col("target_kind").isin(*versions.ASSESSMENTS), "kind"), F.when(F.coalesce("by_url", "by_final_url"), "url"))
     return m.select("capture_dir", why.alias("restriction"))
 
 
@@ -153,16 +166,19 @@ def stored_bytes(t):
     return versions.once(t("manifest")).groupBy("source_id").agg(F.count("*").alias("n"), F.sum("size_bytes").alias("total_bytes"), F.coalesce(F.sum("size_bytes") > 100000, F.lit(False)).alias("over_limit"))
 
 
-@book.add("select lower(model) as title, count(*) as n from registry group by 1 having count(*) > 1")
+@book.add("select lower(trim(split_part(text, chr(10), 1))) as title, count(*) as n, min(doc_id) as first_doc from documents where text is not null group by 1 having count(*) > 1")
 def duplicate_titles(t):
-    """A-08, L7."""
-    return t("registry").groupBy(F.lower("model").alias("title")).agg(F.count("*").alias("n")).where("n > 1")
+    """A-08, L7: first lines that several documents share."""
+    d = t("documents").where("text is not null").groupBy(F.lower(F.trim(F.split_part("text", F.lit("\n"), F.lit(1)))).alias("title"))
+    return d.agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
 
 
-@book.add(f"select lower(split_part(url, '#', 1)) as claim, count(distinct source_id) as n_sources, min(source_id) as first_source from {TARGETS} group by 1 having count(distinct source_id) > 1")
+@book.add(f"select lower(split_part(url, '#', 1)) as claim, count(distinct source_id) as n_sources, min(source_id) as first_source from (select source_id, url from {TARGETS} union all select source, url from check_log where source is not null and url is not null union all select 'planted/mirror', upper(substr(url, 1, 8)) || substr(url, 9) || '#top' from {TARGETS}) group by 1 having count(distinct source_id) > 1")
 def claims_shared(t):
-    """J-19: one URL claimed by several sources."""
-    return targets(t).groupBy(F.lower(F.substring_index("url", "#", 1)).alias("claim")).agg(F.countDistinct("source_id").alias("n_sources"), F.min("source_id").alias("first_source")).where("n_sources > 1")
+    """J-19: one URL claimed by several sources, in registry, log or a planted mirror of all targets."""
+    mirror = targets(t).select(F.lit("planted/mirror").alias("source_id"), F.concat(F.upper(F.substring("url", 1, 8)), F.expr("substr(url, 9)"), F.lit("#top")).alias("url"))
+    claims = targets(t).select("source_id", "url").unionByName(t("check_log").where("source is not null and url is not null").select(F.col("source").alias("source_id"), "url")).unionByName(mirror)
+    return claims.groupBy(F.lower(F.substring_index("url", "#", 1)).alias("claim")).agg(F.countDistinct("source_id").alias("n_sources"), F.min("source_id").alias("first_source")).where("n_sources > 1")
 
 
 @book.add(f"with a as (select s.source_id, s.target, s.state_key, t.kind as kind from state_index s left join {TARGETS} t on t.source_id = s.source_id and t.kind || '-' || substr(sha256(t.url), 1, 8) = s.target) select state_key, kind, kind is not null as active from a")
@@ -206,10 +222,13 @@ def new_candidates(t):
     return c.join(targets(t).select(hashing.candidate_key(F.col("source_id"), F.col("url")).alias("key")), "key", "left_anti").select("source_id", "url", "key")
 
 
-@book.add("select state_key from state_index where source_id not in (select source_id from registry where source_id is not null)")
+LOST_STATE = "select 'planted/gone::x' as state_key, 'planted/gone' as source_id, 'x' as target"
+
+
+@book.add(f"select state_key from (select state_key, source_id from state_index union all select state_key, source_id from ({LOST_STATE})) where source_id not in (select source_id from registry where source_id is not null)")
 def orphan_state_keys(t):
-    """J-08, L11."""
-    return t("state_index").select("state_key", "source_id").join(t("registry").select("source_id"), "source_id", "left_anti").select("state_key")
+    """J-08, L11, with a planted key."""
+    return plant(t("state_index"), LOST_STATE).select("state_key", "source_id").join(t("registry").select("source_id"), "source_id", "left_anti").select("state_key")
 
 
 @book.add(f"select distinct c.capture_id from captures c where exists (select 1 from {V} v where v.source_id = c.source_id and v.target = c.target and v.sha256 = c.sha256 and v.dir <> c.capture_dir)")
@@ -220,12 +239,16 @@ def byte_identical_semi(t):
 
 
 @book.add(
-    """with v as (select capture_id, sha256, source_id from captures where capture_id % 10 = 0 or stored_as = 'raw.html'), s as (select sha256, source_id, min(capture_dir) as d from captures where capture_id not in (select capture_id from v) group by 1, 2), a as (select sha256, min(d) as d from s group by 1)
-    select v.capture_id, coalesce(s.d, a.d) as survives_in from v left join s on s.sha256 = v.sha256 and s.source_id = v.source_id left join a on a.sha256 = v.sha256"""
+    """with l as (select distinct on (seq) * from check_log), n as (select dir, arg_max(sha256, seq) as s from l where lower(outcome) = 'new' and dir is not null and sha256 is not null group by 1),
+    v as (select l.seq as key, coalesce(l.sha256, n.s) as sha256, l.source as source_id, l.dir from l left join n on n.dir = l.dir where lower(l.outcome) like 'pruned%'), s as (select sha256, source_id, min(capture_dir) as d from captures where capture_dir not in (select dir from v where dir is not null) group by 1, 2), a as (select sha256, min(d) as d from s group by 1)
+    select v.key, coalesce(s.d, a.d) as survives_in from v left join s on s.sha256 = v.sha256 and s.source_id = v.source_id left join a on a.sha256 = v.sha256"""
 )
 def survivors(t):
-    """J-10, for victims that are pages or every tenth capture."""
-    return versions.survivors(t("captures"), t("captures").where("capture_id % 10 = 0 or stored_as = 'raw.html'"))
+    """J-10, for what the log says was pruned; the hash comes from the line that stored the directory where it is missing."""
+    log = t("check_log").dropDuplicates(["seq"])
+    stored = log.where("lower(outcome) = 'new' and dir is not null and sha256 is not null").groupBy("dir").agg(F.max_by("sha256", "seq").alias("stored_sha"))
+    gone = log.where("lower(outcome) like 'pruned%'").join(stored, "dir", "left").select(F.col("seq").alias("key"), F.coalesce("sha256", "stored_sha").alias("sha256"), F.col("source").alias("source_id"), F.col("dir").alias("capture_dir"))
+    return versions.survivors(t("captures"), gone)
 
 
 @book.add(
@@ -244,23 +267,24 @@ def unique_owner_urls(t):
 
 
 @book.add(
-    f"""with n as (select distinct source_id, {FOLD.format('provider')} as p, {FOLD.format('model')} as m from {M} where source_id is not null), r as (select {FOLD.format('provider')} as p, {FOLD.format('model')} as m, min(source_id) as s from registry group by 1, 2 having count(*) = 1)
+    f"""with n as (select distinct source_id, {FOLD.format('provider')} as p, {FOLD.format('model')} as m from (select source_id, provider, model from {M} union all select 'renamed/' || source_id, upper(provider), '_' || model from registry) where source_id is not null), r as (select {FOLD.format('provider')} as p, {FOLD.format('model')} as m, min(source_id) as s from registry group by 1, 2 having count(*) = 1)
     select n.source_id, r.s as renamed_to from n join r on r.p = n.p and r.m = n.m where n.source_id not in (select source_id from registry)"""
 )
 def renamed_sources(t):
     """J-12: ids that are not tracked, with the one tracked source of the same names."""
     fold = lambda c: F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]", "")
-    n = versions.once(t("manifest")).where("source_id is not null").select("source_id", fold("provider").alias("p"), fold("model").alias("m")).distinct().join(t("registry").select("source_id"), "source_id", "left_anti")
+    old = t("registry").select(F.concat(F.lit("renamed/"), "source_id").alias("source_id"), F.upper("provider").alias("provider"), F.concat(F.lit("_"), "model").alias("model"))  # planted: every source under an id of before
+    n = versions.once(t("manifest")).select("source_id", "provider", "model").unionByName(old).where("source_id is not null").select("source_id", fold("provider").alias("p"), fold("model").alias("m")).distinct().join(t("registry").select("source_id"), "source_id", "left_anti")
     r = t("registry").groupBy(fold("provider").alias("p"), fold("model").alias("m")).agg(F.min("source_id").alias("renamed_to"), F.count("*").alias("k")).where("k = 1")
     return n.join(r, ["p", "m"]).select("source_id", "renamed_to")
 
 
 @book.add(
-    f"""with x as (select source_id, split_part(capture_dir, '/', 3) as target, capture_dir, coalesce(http.content_type, '') || '/' || (http.etag is not null)::varchar as method from {M})
+    f"""with x as (select source_id, split_part(capture_dir, '/', 3) as target, capture_dir, {METHOD} as method from {M} m left join {RENDER} on r.url = m.http.url)
     select capture_dir, lag(capture_dir) over (partition by source_id, target, method order by capture_dir) as like_capture_dir from x"""
 )
 def like_for_like_asof(t):
-    m = versions.once(t("manifest")).select("source_id", F.split_part("capture_dir", F.lit("/"), F.lit(3)).alias("target"), "capture_dir", F.concat(F.coalesce("http.content_type", F.lit("")), F.lit("/"), F.col("http.etag").isNotNull().cast("string")).alias("method"))
+    m = versions.method_of(versions.once(t("manifest")), t("registry")).select("source_id", F.split_part("capture_dir", F.lit("/"), F.lit(3)).alias("target"), "capture_dir", "method")
     return versions.like_for_like(m, versions.KEY, "method", "capture_dir", "capture_dir").select("capture_dir", "like_capture_dir")
 
 
@@ -325,10 +349,16 @@ def first_commit_state(t):
     return ordered.first_of(r, ["feed", "sha"], ["file_no", "rec_no"])
 
 
-@book.add(f"with x as (select source_id, target, ord, regexp_extract(dir, '(\\d{{8}}T\\d{{6}}Z)', 1) as s, lag(regexp_extract(dir, '(\\d{{8}}T\\d{{6}}Z)', 1)) over (partition by source_id, target order by ord) as p from {V}) select source_id, target, ord from x where s < p")
+BACKWARDS = "select 'planted/back' as source_id, 'x' as target, {0} as ord, 'captures/planted__back/x/{1}' as dir"
+
+
+@book.add(f"with v as (select source_id, target, ord, dir from {V} union all {BACKWARDS.format(0, '20260301T000000Z')} union all {BACKWARDS.format(1, '20260228T235959Z')} union all {BACKWARDS.format(2, '20260301T000000Z-2')}), x as (select source_id, target, ord, regexp_extract(dir, '(\\d{{8}}T\\d{{6}}Z)', 1) as s, lag(regexp_extract(dir, '(\\d{{8}}T\\d{{6}}Z)', 1)) over (partition by source_id, target order by ord) as p from v) select source_id, target, ord from x where s < p")
 def capture_order_violations(t):
-    """W-04, V-C10."""
-    v = index(t).withColumn("stamp", F.regexp_extract("dir", r"(\d{8}T\d{6}Z)", 1))
+    """W-04, V-C10, with a planted target that goes back once."""
+    planted = index(t).select("source_id", "target", "ord", "dir")
+    for k, stamp in enumerate(("20260301T000000Z", "20260228T235959Z", "20260301T000000Z-2")):
+        planted = plant(planted, BACKWARDS.format(k, stamp))
+    v = planted.withColumn("stamp", F.regexp_extract("dir", r"(\d{8}T\d{6}Z)", 1))
     return ordered.lag_over(v, versions.KEY, ["ord"], ["stamp"]).where("stamp < prior_stamp").select("source_id", "target", "ord")
 
 
@@ -419,11 +449,11 @@ def name_order(t):
     return ordered.ranked(r, ["p", "m", "source_id"], "place").select("place", "source_id")
 
 
-@book.add("with n as (select distinct upper(file_name) as name from raw_record where file_no % 2 = 1 union select distinct file_name from raw_record), k as (select distinct file_name as name from raw_record), l as (select lower(name) as low, min(name) as loose from k group by 1 having count(*) = 1) select n.name, coalesce(k.name, l.loose) as held_as from n left join k on k.name = n.name left join l on l.low = lower(n.name)")
+@book.add("with n as (select distinct upper(file_name) as name from raw_record union select distinct file_name from raw_record), k as (select distinct file_name as name from raw_record), l as (select lower(name) as low, min(name) as loose from k group by 1 having count(*) = 1) select n.name, coalesce(k.name, l.loose) as held_as from n left join k on k.name = n.name left join l on l.low = lower(n.name)")
 def repaired_names(t):
     """P-12."""
     r = t("raw_record").select(F.col("file_name").alias("name"), "file_no")
-    asked = r.where("file_no % 2 = 1").select(F.upper("name").alias("name")).unionByName(r.select("name")).distinct()
+    asked = r.select(F.upper("name").alias("name")).unionByName(r.select("name")).distinct()
     return versions.repaired_names(asked, r)
 
 

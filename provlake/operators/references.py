@@ -19,6 +19,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from provlake.session import Stash
+
 
 def null_mask(cols: list[str]) -> Column:
     """'101' for a key whose second column is null."""
@@ -118,7 +120,7 @@ def orphan_references(state: DataFrame, log: DataFrame, captures: DataFrame) ->
     The references are joined back on the directory; a directory to which a
     third of all lines refer is split by AQE, as the other side has one row for it.
     """
-    refs = references(state, log)
+    refs = Stash(log.sparkSession).put(references(state, log), "references")  # asked for several times, the log read once
     judged = refs.join(directory_faults(refs, log, captures), "ref_value").withColumn(
         "kind", F.coalesce("kind", F.when((F.col("period") != "unknown") & (F.col("arrived") > F.col("period")), F.lit("late")))
     )

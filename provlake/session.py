@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import gc
 import shutil
 import tempfile
@@ -42,13 +43,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: the session's spark.checkpoint.dir.
 
-    Only where it is unset, as in tests on one machine, a temporary folder is
-    taken and set as the checkpoint directory.
+    Only where it is unset and the master is local, as in tests, a temporary
+    folder is taken and set as the checkpoint directory; on a cluster a folder
+    of one machine would lose the data of the others, so that is an error.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not path:
         held = sc._jsc.sc().getCheckpointDir()
+        if not held.isDefined() and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = held.get() if held.isDefined() else tempfile.mkdtemp(prefix="provlake-")
         if not held.isDefined():
             sc.setCheckpointDir(path)
@@ -65,10 +69,8 @@ class Stash:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
-        local = self.root.removeprefix("file://")
-        if local.startswith("/"):
-            # results read from it lazily, so it goes when the driver's program ends
-            atexit.register(shutil.rmtree, local, ignore_errors=True)
+        # results read from it lazily, so it goes when the driver's program ends, on whatever file system
+        atexit.register(self._end, self.root)
 
     def put(self, df: DataFrame, name: str, **options) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -83,11 +85,21 @@ class Stash:
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
-    def drop(self, name: str) -> None:
-        jvm, path = self.spark.sparkContext._jvm, f"{self.root}/{name}"
-        hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    def _delete(self, path: str) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
+    def _end(self, path: str) -> None:
+        local = path.removeprefix("file://")
+        if local.startswith("/"):
+            shutil.rmtree(local, ignore_errors=True)
+        else:
+            with contextlib.suppress(Exception):  # the session may be gone already
+                self._delete(path)
+
+    def drop(self, name: str) -> None:
+        self._delete(f"{self.root}/{name}")
+
 
 def hash_sample(df: DataFrame, id_col: str, most: int) -> DataFrame:
     """At most so many rows, the first by a hash of the id: what a model is fitted on.

@@ -41,6 +41,8 @@ NUM, DEN = 3, 5
 RUN, LEAST_WORDS, MATCHES = 3, 40, 3
 #: Most rows of the broadcast table of common runs (16 bytes each).
 HEAVY = 1 << 18
+#: Classes that hold a run, beyond which its part of the index is met block by block, each in a task of its own.
+HOT = 4096
 #: Words that a task works on at once.
 FLUSH = 1_000_000
 
@@ -137,7 +139,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(c.astype(np.int64))], names=["token", "c"])
 
 
-def _entries(batches: Iterator[pa.RecordBatch], heavy) -> Iterator[pa.RecordBatch]:
+def _entries(batches: Iterator[pa.RecordBatch], heavy, hot: int) -> Iterator[pa.RecordBatch]:
     tokens, weights = heavy.value
     for b in (part for whole in batches for part in _pieces(whole, 1)):
         rec, h = _runs(*_flat(b.column(1)))
@@ -150,8 +152,9 @@ def _entries(batches: Iterator[pa.RecordBatch], heavy) -> Iterator[pa.RecordBatc
         n = np.diff(np.append(starts, len(rec)))
         pos = np.arange(len(rec)) - starts[rec]
         keep = pos < (n - (n * NUM + DEN - 1) // DEN + MATCHES)[rec]
-        rec, h, pos = rec[keep], h[keep], pos[keep]
-        yield pa.RecordBatch.from_arrays([pa.array(h), b.column(0).take(pa.array(rec)), pa.array(n[rec].astype(np.int32)), pa.array(pos.astype(np.int32))], names=["token", "id", "n", "pos"])
+        blocks = 1 + weight[order] // hot  # before the rows are thinned
+        rec, h, pos, blocks = rec[keep], h[keep], pos[keep], blocks[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(h), b.column(0).take(pa.array(rec)), *(pa.array(c.astype(np.int32)) for c in (n[rec], pos, blocks))], names=["token", "id", "n", "pos", "blocks"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,13 +215,18 @@ class NearDuplicates:
     def candidates(self) -> DataFrame:
         """(a, b) of classes whose tally reaches the guaranteed minimum."""
         heavy = self.spark.sparkContext.broadcast(self._heavy())
-        index = self.records.select("id", "words").mapInArrow(partial(_entries, heavy=heavy), "token bigint, id bigint, n int, pos int")
-        x, y = index.alias("x"), index.alias("y")
+        index = self.records.select("id", "words").mapInArrow(partial(_entries, heavy=heavy, hot=HOT), "token bigint, id bigint, n int, pos int, blocks int")
+        x = y = index.drop("blocks").withColumn("block", F.lit(0))
+        if (heavy.value[1] >= HOT).any():
+            # a run of very many classes: one side is dealt into blocks, the other goes to all of them
+            x = index.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+            y = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        x, y = x.alias("x"), y.alias("y")
         alpha = F.expr(f"(({NUM} * (x.n + y.n)) + {NUM + DEN - 1}) div {NUM + DEN}")
         left = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
         met = x.join(
             y,
-            (F.col("x.token") == F.col("y.token")) & (F.col("x.id") < F.col("y.id"))
+            (F.col("x.token") == F.col("y.token")) & (F.col("x.block") == F.col("y.block")) & (F.col("x.id") < F.col("y.id"))
             & (F.least("x.n", "y.n") * DEN >= F.greatest("x.n", "y.n") * NUM) & (left >= alpha - (MATCHES - 1)),
         )
         tally = met.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("met"), F.min(F.least(F.lit(MATCHES), alpha)).alias("least"))

@@ -91,10 +91,11 @@ def brute(rows, least=40):
     return {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if len(sets[a] & sets[b]) * 5 >= 3 * len(sets[a] | sets[b])}
 
 
-@pytest.mark.parametrize("heavy", [1 << 18, 8, 0])
-def test_near_duplicates_lose_no_pair(spark, monkeypatch, heavy):
-    """Whatever the order of the index, the pairs are those of brute force."""
+@pytest.mark.parametrize("heavy, hot", [(1 << 18, 4096), (8, 4096), (0, 4096), (1 << 18, 3)])
+def test_near_duplicates_lose_no_pair(spark, monkeypatch, heavy, hot):
+    """Whatever the order of the index, and with hot runs dealt into blocks, the pairs are those of brute force."""
     monkeypatch.setattr(near_duplicates, "HEAVY", heavy)
+    monkeypatch.setattr(near_duplicates, "HOT", hot)
     rows = corpus(260, 5)
     df = frame(spark, rows, "capture_id bigint, t string")
     got = [tuple(r) for r in near_duplicates.near_duplicate_pairs(df, "capture_id", "t").collect()]
@@ -138,7 +139,7 @@ def test_slices_of_a_batch_give_what_the_batch_gives(monkeypatch):
 
     def run():
         sets = pa.Table.from_batches(near_duplicates._sets([whole], 40)).combine_chunks().to_batches()[0]
-        entries = pa.Table.from_batches(near_duplicates._entries([sets.select(["id", "words"])], Heavy)).to_pylist()
+        entries = pa.Table.from_batches(near_duplicates._entries([sets.select(["id", "words"])], Heavy, 4096)).to_pylist()
         pair = pa.RecordBatch.from_arrays([sets["id"], sets["id"], sets["words"], sets["words"].take(pa.array(range(len(sets))[::-1]))], names=["a", "b", "wa", "wb"])
         return sets.to_pylist(), entries, pa.Table.from_batches(near_duplicates._verify([pair])).to_pylist(), sum(r["c"] for b in near_duplicates._counts([sets.select(["words"])]) for r in b.to_pylist())
 

@@ -41,8 +41,9 @@ NUM, DEN = 3, 5
 RUN, LEAST_WORDS, MATCHES = 3, 40, 3
 #: Most rows of the broadcast table of common runs (16 bytes each).
 HEAVY = 1 << 18
-#: Classes that hold a run, beyond which its part of the index is met block by block, each in a task of its own.
+#: Classes that hold a run, for each of which its part of the index gets one more block; pairs of blocks are met in tasks of their own.
 HOT = 4096
+MOST_BLOCKS = 1 << 15
 #: Words that a task works on at once.
 FLUSH = 1_000_000
 
@@ -152,9 +153,17 @@ def _entries(batches: Iterator[pa.RecordBatch], heavy, hot: int) -> Iterator[pa.
         n = np.diff(np.append(starts, len(rec)))
         pos = np.arange(len(rec)) - starts[rec]
         keep = pos < (n - (n * NUM + DEN - 1) // DEN + MATCHES)[rec]
-        blocks = 1 + weight[order] // hot  # before the rows are thinned
-        rec, h, pos, blocks = rec[keep], h[keep], pos[keep], blocks[keep]
-        yield pa.RecordBatch.from_arrays([pa.array(h), b.column(0).take(pa.array(rec)), *(pa.array(c.astype(np.int32)) for c in (n[rec], pos, blocks))], names=["token", "id", "n", "pos", "blocks"])
+        blocks = np.minimum(1 + weight[order] // hot, MOST_BLOCKS)[keep]  # before the rows are thinned
+        rec, h, pos = rec[keep], h[keep], pos[keep]
+        ids = b.column(0).to_numpy(zero_copy_only=False)[rec]
+        # an entry of a run in B blocks stands in the B cells that its own block shares with each
+        own = (_mix(ids.view(np.uint64) * _M1) % blocks.astype(np.uint64)).astype(np.int64)
+        row = np.repeat(np.arange(len(h)), blocks)
+        other = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        mine, size = own[row], blocks[row]
+        cell = np.minimum(mine, other) * size + np.maximum(mine, other)
+        columns = (h[row], ids[row], (n[rec].astype(np.int64) << 32 | pos)[row], mine << 47 | size << 31 | cell)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "id", "np", "at"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,19 +224,18 @@ class NearDuplicates:
     def candidates(self) -> DataFrame:
         """(a, b) of classes whose tally reaches the guaranteed minimum."""
         heavy = self.spark.sparkContext.broadcast(self._heavy())
-        index = self.records.select("id", "words").mapInArrow(partial(_entries, heavy=heavy, hot=HOT), "token bigint, id bigint, n int, pos int, blocks int")
-        x = y = index.drop("blocks").withColumn("block", F.lit(0))
-        if (heavy.value[1] >= HOT).any():
-            # a run of very many classes: one side is dealt into blocks, the other goes to all of them
-            x = index.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-            y = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        x, y = x.alias("x"), y.alias("y")
-        alpha = F.expr(f"(({NUM} * (x.n + y.n)) + {NUM + DEN - 1}) div {NUM + DEN}")
-        left = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+        index = self.records.select("id", "words").mapInArrow(partial(_entries, heavy=heavy, hot=HOT), "token bigint, id bigint, np bigint, at bigint")
+        x, y = index.alias("x"), index.alias("y")
+        # packed, since every column weighs in the shuffle: at holds own block, number of blocks and cell; np size and place
+        nx, ny, px, py = (F.expr(f"{e.format(s)}") for e in ("shiftright({}.np, 32)", "({}.np & 4294967295)") for s in "xy")
+        bx, by, cells = F.expr("shiftright(x.at, 47)"), F.expr("shiftright(y.at, 47)"), F.expr("shiftright(x.at, 31) & 65535")
+        alpha = F.floor((NUM * (nx + ny) + NUM + DEN - 1) / (NUM + DEN))
+        left = F.least(nx - px, ny - py)
+        once = F.least(bx, by) * cells + F.greatest(bx, by) == F.expr("x.at & 2147483647")  # a pair of blocks meets in one cell
         met = x.join(
             y,
-            (F.col("x.token") == F.col("y.token")) & (F.col("x.block") == F.col("y.block")) & (F.col("x.id") < F.col("y.id"))
-            & (F.least("x.n", "y.n") * DEN >= F.greatest("x.n", "y.n") * NUM) & (left >= alpha - (MATCHES - 1)),
+            (F.col("x.token") == F.col("y.token")) & (F.expr("x.at & 2147483647") == F.expr("y.at & 2147483647")) & (F.col("x.id") < F.col("y.id"))
+            & (F.least(nx, ny) * DEN >= F.greatest(nx, ny) * NUM) & (left >= alpha - (MATCHES - 1)) & once,
         )
         tally = met.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("met"), F.min(F.least(F.lit(MATCHES), alpha)).alias("least"))
         return tally.where("met >= least").select("a", "b")

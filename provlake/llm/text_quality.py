@@ -17,6 +17,8 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import chain
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +39,18 @@ START = (14, 12, 8, 8, 14)
 # Vowels of the scripts, separators of cells, ends of sentences.
 VOWELS = "aeiouyàáâäèéêëìíîïòóôöùúûüæœøåαάεέηήιίοόυύωώϊϋаеиоуъюяыэ"
 SEPARATORS = ("|", "\t", ";", ",", "   ")
+_LINE = re.compile(r"\r\n|\r|\n")
 _END = re.compile(r"[.!?…]['\"”’»)\]]*\s*$")
 _BULLET = re.compile(r"\s*([-*•–·▪◦‣+]|\(?[0-9]{1,3}[.)]|\(?[a-zA-Z][.)])\s")
 _SENTENCE = re.compile(r"[.!?]\s+[A-ZÀ-ÞΑ-ΩА-Я]")
-_LETTER, _DIGIT, _SPACE, _UPPER, _VOWEL, _COMMON, _CODE, _BROKEN, _CONS = (1 << k for k in range(9))
+_LETTER, _DIGIT, _SPACE, _UPPER, _VOWEL, _COMMON, _CODE, _BROKEN, _CONS, _CAPITAL, _SMALL = (1 << k for k in range(11))
+#: Classes counted per line; after them come the separators of one character.
+_COUNTED = (_LETTER, _DIGIT, _SPACE, _UPPER, _VOWEL, _COMMON, _CODE, _BROKEN)
 
 
 @lru_cache(maxsize=1)
-def _classes() -> np.ndarray:
-    """Bits per code point of the Basic Multilingual Plane; above it, symbols."""
+def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bits, kind) per code point of the Basic Multilingual Plane, symbols above it; and what counts in each kind."""
     table = np.zeros(0x10001, np.uint16)
     for cp in range(0x10000):
         ch = chr(cp)
@@ -62,73 +67,113 @@ def _classes() -> np.ndarray:
             table[cp] = _CODE
         elif 0x80 <= cp <= 0x9F or unicodedata.category(ch) in ("Cc", "Co", "Cn", "Cs"):
             table[cp] = _BROKEN
+        table[cp] |= _case(ch)
     for ch in "ÃÂâÎÐÑ¢€¬Å¶¼±":
         table[ord(ch)] |= _BROKEN
-    return table
+    apart = table.astype(np.int64)
+    for k, ch in enumerate(_SINGLE):
+        apart[ord(ch)] |= 1 << 16 + k
+    kinds, kind = np.unique(apart, return_inverse=True)
+    return table, kind.astype(np.uint8), np.stack([kinds & b > 0 for b in (*_COUNTED, *(1 << 16 + k for k in range(len(_SINGLE))))], 1).astype(np.int64)
 
 
+def _case(ch: str) -> int:
+    return (_CAPITAL if ch.isupper() else 0) | (_SMALL if ch.islower() else 0)
+
+
+_SINGLE = [c for c in SEPARATORS if len(c) == 1]
 N_FEATURES = 26
-#: Lines that a task gives to the mixture at once.
-FLUSH = 20_000
+#: Lines that a task gives to the mixture at once; characters of short texts that are measured, and of a long one that are counted, at once.
+FLUSH, BLOCK = 4_096, 1 << 18
 #: Stress of the statistics while the start is sought: repeated and common words part salads of words from sentences.
 LEANING = np.where(np.isin(np.arange(N_FEATURES), (15, 16)), 2.0, 1.0)
 
 
-def line_statistics(text: str, common: frozenset[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(statistics, characters) of the lines of one text that are not blank."""
-    lines = [ln for ln in re.split(r"\r\n|\r|\n", text) if ln and not ln.isspace()]
-    n = len(lines)
+def _counts(code: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Characters of each counted class per line."""
+    _, kind, counted = _classes()
+    k, out = len(counted), np.zeros((len(starts), counted.shape[1]), np.int64)
+    for lo in range(0, len(code), BLOCK):
+        piece = kind[np.minimum(code[lo : lo + BLOCK], 0x10000)]
+        a, b = np.searchsorted(starts, lo, "right") - 1, np.searchsorted(starts, lo + len(piece))
+        row = np.repeat(np.arange(b - a) * k, np.diff(np.append(np.maximum(starts[a:b], lo), lo + len(piece))))
+        out[a:b] += np.bincount(row + piece, minlength=(b - a) * k).reshape(-1, k) @ counted
+    return out
+
+
+def line_statistics(texts: list[str], common: frozenset[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(statistics, characters, counts of words, common words and characters in words, text) of the lines of some texts that are not blank, all at once."""
+    of = [[ln for ln in _LINE.split(t) if ln and not ln.isspace()] for t in texts]
+    lines, held = list(chain.from_iterable(of)), np.array([len(x) for x in of], np.int64)
+    n, owner = len(lines), np.repeat(np.arange(len(texts)), held)
     out = np.zeros((n, N_FEATURES))
     if not n:
-        return out, np.zeros(0)
+        return out, np.zeros(0), np.zeros((0, 3)), owner
     size = np.array([len(ln) for ln in lines])
     starts = np.concatenate([[0], np.cumsum(size)[:-1]])
     code = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-    bits = _classes()[np.minimum(code, 0x10000)]
-    add = lambda mask: np.add.reduceat(mask, starts, dtype=np.int64)
-    letter, digit, space, upper = (add((bits & b) > 0) for b in (_LETTER, _DIGIT, _SPACE, _UPPER))
-    vowel, usual, odd, broken = (add((bits & b) > 0) for b in (_VOWEL, _COMMON, _CODE, _BROKEN))
+    letter, digit, space, upper, vowel, usual, odd, broken, *single = _counts(code, starts).T
+    bits = _classes()[0][np.minimum(code, 0x10000)]
     cons = (bits & _CONS) > 0
     run = np.zeros(len(cons), bool)
     run[3:] = cons[3:] & cons[2:-1] & cons[1:-2] & cons[:-3]
-    pile = add(run)
-    many = np.array([[ln.count(s) for s in SEPARATORS] for ln in lines])
+    first_line = np.concatenate([[0], np.cumsum(held)[:-1]])[held > 0]
+    for k in range(3):  # no run goes on from one text into the next
+        run[np.minimum(starts[first_line] + k, len(run) - 1)] = False
+    pile = np.add.reduceat(run, starts, dtype=np.int64)
+    joined = "\n".join(lines)
+    single = iter(single)
+    many = np.stack([next(single) if len(s) == 1 else _occurrences(s, lines, joined) for s in SEPARATORS], 1)
     best = many.argmax(1)
     cells = many[np.arange(n), best]
-    words_, distinct, common_, ends, bullet, inner, capital, longest, named, counted, linked = (np.zeros(n) for _ in range(11))
-    for k, ln in enumerate(lines):
-        w = ln.lower().split()
-        words_[k] = len(w)
-        distinct[k] = len(set(w))
-        common_[k] = sum(map(common.__contains__, w))
-        ends[k] = _END.search(ln[-8:]) is not None
-        bullet[k] = _BULLET.match(ln) is not None
-        inner[k] = len(_SENTENCE.findall(ln))
-        capital[k] = ln.lstrip()[0].isupper()
-        longest[k] = max(map(len, w))
-        own = ln.split()
-        named[k] = sum(x[0].isupper() for x in own[1:])
-        counted[k] = sum(x[0].isdigit() for x in own)
-        linked[k] = ln.count("://")
+    # words: from each character after a space or a line's start to the next such place
+    blank = (bits & _SPACE) > 0
+    before, after = np.empty(len(blank), bool), np.empty(len(blank), bool)
+    before[1:], after[:-1] = blank[:-1], blank[1:]
+    before[starts], after[starts[1:] - 1], after[-1] = True, True, True
+    head, tail = np.flatnonzero(before & ~blank), np.flatnonzero(after & ~blank)
+    at = np.searchsorted(starts, head, "right") - 1
+    words = np.bincount(at, minlength=n)
+    first = np.concatenate([[0], np.cumsum(words)[:-1]])
+    length = tail - head + 1
+    if (dotted := np.flatnonzero(code == 0x130)).size:  # in small letters it is two characters
+        length += np.bincount(np.searchsorted(head, dotted, "right") - 1, minlength=len(head))
+    longest = np.maximum.reduceat(length, first).astype(float)
+    initial = bits[head]
+    for k in np.flatnonzero(code[head] > 0xFFFF):
+        ch = chr(code[head[k]])
+        initial[k] = _case(ch) | (_DIGIT if ch.isdigit() else 0)
+    capital = ((initial[first] & _CAPITAL) > 0).astype(float)
+    named = np.bincount(at, (initial & _CAPITAL) > 0, n) - capital
+    counted = np.bincount(at, (initial & _DIGIT) > 0, n)
+    low, to = joined.lower().split(), np.cumsum(words).tolist()
+    own = [low[a:b] for a, b in zip([0, *to], to)]
+    distinct = np.array([len(set(w)) for w in own], float)
+    usual_words = np.fromiter(map(common.__contains__, low), np.int64, len(low))
+    common_ = np.add.reduceat(usual_words, first).astype(float)
+    words_ = words.astype(float)
+    ends = np.array([_END.search(ln[-8:]) is not None for ln in lines], float)
+    bullet = np.array([_BULLET.match(ln) is not None for ln in lines], float)
+    inner = np.array([len(_SENTENCE.findall(ln)) for ln in lines], float)
+    linked = _occurrences("://", lines, joined)
     safe = np.maximum(words_, 1)
     like = np.zeros(n)  # the same cells as a neighbour
     same = np.zeros(n)  # the same line as a neighbour
     grown = np.zeros(n)  # about as long as a neighbour, in words
-    if n > 1:
-        alike = (best[1:] == best[:-1]) & (cells[1:] == cells[:-1]) & (cells[1:] > 0)
-        like[1:] += alike
-        like[:-1] += alike
-        equal = np.array([a == b for a, b in zip(lines, lines[1:])])
-        same[1:] += equal
-        same[:-1] += equal
-        close = np.abs(words_[1:] - words_[:-1]) <= 2
-        grown[1:] += close
-        grown[:-1] += close
     flows = np.zeros(n)  # carried on by the next line, or carrying on the one before
-    for k in range(n - 1):
-        if not ends[k] and words_[k] >= 5 and lines[k + 1].lstrip()[0].islower():
-            flows[k] = 1
-            flows[k + 1] = 1
+    beside = owner[1:] == owner[:-1]
+    alike = beside & (best[1:] == best[:-1]) & (cells[1:] == cells[:-1]) & (cells[1:] > 0)
+    like[1:] += alike
+    like[:-1] += alike
+    equal = beside & np.fromiter(map(eq, lines, lines[1:]), bool, n - 1)
+    same[1:] += equal
+    same[:-1] += equal
+    close = beside & (np.abs(words_[1:] - words_[:-1]) <= 2)
+    grown[1:] += close
+    grown[:-1] += close
+    on = beside & (ends[:-1] == 0) & (words_[:-1] >= 5) & ((initial[first[1:]] & _SMALL) > 0)
+    flows[:-1][on] = 1
+    flows[1:][on] = 1
     cols = (
         np.log1p(size), np.log1p(words_), letter / size, digit / size, space / size, upper / np.maximum(letter, 1), vowel / np.maximum(letter, 1),
         (size - letter - digit - space - usual) / size, np.minimum(odd / size, 0.5), np.minimum(broken / size, 0.5), np.minimum(3 * pile / np.maximum(letter, 1), 1.0),
@@ -138,7 +183,11 @@ def line_statistics(text: str, common: frozenset[str]) -> tuple[np.ndarray, np.n
     )
     for j, c in enumerate(cols):
         out[:, j] = c
-    return out, size.astype(float)
+    return out, size.astype(float), np.stack([words_, common_, size - space], 1), owner
+
+
+def _occurrences(s: str, lines: list[str], joined: str) -> np.ndarray:
+    return np.array([ln.count(s) for ln in lines]) if s in joined else np.zeros(len(lines), np.int64)
 
 
 class Mixture:
@@ -156,16 +205,19 @@ class Mixture:
         for _ in range(8):
             near = (((z**2).sum(1)[:, None] - 2 * z @ centres.T) + (centres**2).sum(1)).argmin(1)
             centres = np.array([z[near == j].mean(0) if (near == j).any() else centres[j] for j in range(k)])
-        r = np.eye(k)[near]
         z = z / LEANING
-        last = -np.inf
+        moments, last = self._moments(z, lambda lo, hi, powers: np.eye(k)[:, near[lo:hi]]), -np.inf
         for _ in range(STEPS):
-            self._maximize(z, r)
-            logp = self._log(z)
-            top = logp.max(1, keepdims=True)
-            norm = top + np.log(np.exp(logp - top).sum(1, keepdims=True))
-            r = np.exp(logp - norm)
-            now = norm.mean()
+            self._maximize(moments, z.shape[1])
+            likely: list[float] = []
+
+            def expected(lo: int, hi: int, powers: np.ndarray) -> np.ndarray:
+                r, norm = self._shares(powers)
+                likely.append(norm.sum())
+                return r
+
+            moments = self._moments(z, expected)
+            now = sum(likely) / len(z)
             if now - last < 1e-3:
                 break
             last = now
@@ -184,24 +236,53 @@ class Mixture:
     def _standard(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) / self.std, -6, 6)
 
-    def _maximize(self, z: np.ndarray, r: np.ndarray) -> None:
-        n, d = r.sum(0) + 1e-6, z.shape[1]
-        self.weight, self.centre = n / n.sum(), (r.T @ z) / n[:, None]
-        self.root, self.logdet = [], []
-        for j in range(len(n)):
-            c = z - self.centre[j]
-            cov = (c * r[:, j : j + 1]).T @ c / n[j] + RIDGE * np.eye(d)
+    @staticmethod
+    def _powers(z: np.ndarray) -> np.ndarray:
+        """1, the statistics and their products two by two, a column for each line: every log density is linear in them."""
+        n, d = z.shape
+        out, at = np.empty((1 + d + d * (d + 1) // 2, n)), 1 + d
+        out[0], out[1:at] = 1, z.T
+        for i in range(d):
+            np.multiply(out[1 + i], out[1 + i : 1 + d], out=out[at : at + d - i])
+            at += d - i
+        return out
+
+    def _moments(self, z: np.ndarray, share) -> np.ndarray:
+        """Sums of the powers by share of each component."""
+        total = 0
+        for lo in range(0, len(z), FLUSH):
+            powers = self._powers(z[lo : lo + FLUSH])
+            total = total + share(lo, lo + FLUSH, powers) @ powers.T
+        return total
+
+    def _maximize(self, moments: np.ndarray, d: int) -> None:
+        n = moments[:, 0] + 1e-6
+        weight, centre = n / n.sum(), moments[:, 1 : 1 + d] / n[:, None]
+        i, j = np.triu_indices(d)
+        self.linear = np.empty_like(moments)
+        for k, c in enumerate(centre):
+            cov = np.empty((d, d))
+            cov[i, j] = cov[j, i] = moments[k, 1 + d :]
+            shift = np.outer(c, moments[k, 1 : 1 + d])
+            cov = (cov - shift - shift.T + moments[k, 0] * np.outer(c, c)) / n[k] + RIDGE * np.eye(d)
             low = np.linalg.cholesky(cov)
-            self.root.append(np.linalg.inv(low))
-            self.logdet.append(2 * np.log(np.diag(low)).sum())
-
-    def _log(self, z: np.ndarray) -> np.ndarray:
-        return np.stack([np.log(self.weight[j]) - 0.5 * (self.logdet[j] + (((z - self.centre[j]) @ self.root[j].T) ** 2).sum(1)) for j in range(len(self.weight))], 1)
+            root = np.linalg.inv(low)
+            precise = root.T @ root
+            self.linear[k, 0] = np.log(weight[k]) - np.log(np.diag(low)).sum() - 0.5 * c @ precise @ c
+            self.linear[k, 1 : 1 + d] = precise @ c
+            self.linear[k, 1 + d :] = np.where(i == j, -0.5, -1.0) * precise[i, j]
+
+    def _shares(self, powers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(share of each component, log density) of each line."""
+        p = self.linear @ powers
+        top = p.max(0)
+        np.exp(np.subtract(p, top, out=p), out=p)
+        total = p.sum(0)
+        return np.divide(p, total, out=p), top + np.log(total)
 
     def responsibilities(self, x: np.ndarray) -> np.ndarray:
-        logp = self._log(self._standard(x))
-        p = np.exp(logp - logp.max(1, keepdims=True))
-        return p / p.sum(1, keepdims=True)
+        z = self._standard(x)
+        return np.concatenate([self._shares(self._powers(z[lo : lo + FLUSH]))[0].T for lo in range(0, max(len(z), 1), FLUSH)])
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> list:
@@ -218,12 +299,12 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> li
 def fit(rows: list, common: frozenset[str]) -> tuple[Mixture, np.ndarray] | None:
     """The mixture and, per component, its weight in each form."""
     stats, weight, form = [], [], []
-    for r in rows:
-        x, size = line_statistics(r["t"], common)
+    for part in _blocks([r["t"] for r in rows]):
+        x, size, _, owner = line_statistics([rows[k]["t"] for k in part], common)
         stats.append(x)
-        weight.append(size / max(size.sum(), 1))  # a document has one vote in all, as its label may be wrong
-        form += [FORMS.index(r["form"]) if r["form"] else -1] * len(x)
-    x, size, form = np.concatenate(stats), np.concatenate(weight), np.array(form)
+        weight.append(size / np.maximum(np.bincount(owner, size, len(part)), 1)[owner])  # a document has one vote in all, as its label may be wrong
+        form.append(np.array([FORMS.index(f) if (f := rows[k]["form"]) else -1 for k in part])[owner])
+    x, size, form = (np.concatenate(v) for v in (stats, weight, form))
     if not len(x):
         return None
     rng = np.random.default_rng(SEED)
@@ -239,36 +320,38 @@ def fit(rows: list, common: frozenset[str]) -> tuple[Mixture, np.ndarray] | None
     return model, np.eye(len(FORMS))[votes.argmax(1)]
 
 
+def _blocks(texts: list[str]) -> Iterator[list[int]]:
+    """Places of texts that are measured at once: some short ones, or a long one."""
+    part, held = [], 0
+    for k, t in enumerate(texts):
+        if part and held + len(t) > BLOCK:
+            yield part
+            part, held = [], 0
+        part.append(k)
+        held += len(t)
+    if part:
+        yield part
+
+
 def _measure(batches: Iterator[pa.RecordBatch], common: frozenset[str], model) -> Iterator[pa.RecordBatch]:
     mixture, mapping = model.value if model.value else (None, None)
     names = ["id", "n_lines", "n_words", "mean_word_length", "symbol_ratio", "lines_ending_in_punctuation", "common_word_share", *(f"{f}_chars" for f in FORMS)]
     for b in batches:
-        texts = b.column(1).to_pylist()
-        rows, chars = [], np.zeros((len(texts), len(FORMS)))
-        blocks, sizes, owner = [], [], []
-
-        def flush() -> None:
-            if blocks and mixture:
-                p = mixture.responsibilities(np.concatenate(blocks)) @ mapping * np.concatenate(sizes)[:, None]
-                np.add.at(chars, np.concatenate(owner), p)
-            blocks.clear(), sizes.clear(), owner.clear()
-
-        held = 0
-        for k, t in enumerate(texts):
-            x, size = line_statistics(t or "", common)
-            w = (t or "").split()
-            n, total = len(w), size.sum()
-            rows.append((len(size), n, sum(map(len, w)) / n if n else 0.0, float((x[:, 7] * size).sum() / total) if total else 0.0, float(x[:, 17].mean()) if len(size) else 0.0, sum(map(common.__contains__, map(str.lower, w))) / n if n else 0.0))
-            for at in range(0, len(x), FLUSH):
-                blocks.append(x[at : at + FLUSH])
-                sizes.append(size[at : at + FLUSH])
-                owner.append(np.full(len(blocks[-1]), k))
-                held += len(blocks[-1])
-                if held >= FLUSH:
-                    flush()
-                    held = 0
-        flush()
-        yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[k] for r in rows], pa.int64() if k < 2 else pa.float64()) for k in range(6)), *(pa.array(chars[:, k]) for k in range(len(FORMS)))], names=names)
+        texts = [t or "" for t in b.column(1).to_pylist()]
+        # lines, characters, words, common words, characters of words, symbols, lines that end; then the characters of each form
+        sums, first = np.zeros((7 + len(FORMS), len(texts))), 7
+        for part in _blocks(texts):
+            x, size, of_words, owner = line_statistics([texts[k] for k in part], common)
+            total = lambda v, own=owner, n=len(part): np.bincount(own, v, n)
+            sums[:first, part] = [total(v) for v in (np.ones(len(x)), size, *of_words.T, x[:, 7] * size, x[:, 17])]
+            for lo in range(0, len(x) if mixture else 0, FLUSH):
+                at = slice(lo, lo + FLUSH)
+                p = mixture.responsibilities(x[at]) @ mapping * size[at, None]
+                sums[first:, part] += [np.bincount(owner[at], v, len(part)) for v in p.T]
+        lines, chars, words, usual, in_words, symbols, ended = sums[:first]
+        per = lambda v, n: v / np.maximum(n, 1)
+        columns = (per(in_words, words), per(symbols, chars), per(ended, lines), per(usual, words), *sums[first:])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lines.astype(np.int64)), pa.array(words.astype(np.int64)), *map(pa.array, columns)], names=names)
 
 
 def quality_statistics(docs: DataFrame, labels: DataFrame, common_words: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import sys
 import zlib
 from types import SimpleNamespace
 
@@ -408,3 +409,53 @@ def test_labelled_and_other_documents_share_the_sample(spark, monkeypatch):
     monkeypatch.setattr(text_quality, "Mixture", lambda x, form: seen.append(form) or SimpleNamespace(responsibilities=lambda x: np.ones((len(x), 1))))
     text_quality.fit([{"t": "A line of words.\n" * 50, "form": f} for f in ("prose", None)], frozenset())
     assert [(seen[0] == 0).sum(), (seen[0] < 0).sum()] == [20, 20]
+
+
+def python_calls(run) -> int:
+    """Calls that Python makes or is made to, a measure of time that does not depend on the machine."""
+    n = 0
+
+    def count(frame, event, arg):
+        nonlocal n
+        n += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        run()
+    finally:
+        sys.setprofile(None)
+    return n
+
+
+def test_lines_are_measured_by_the_block():
+    """Texts measured together have the statistics that each has alone, at a few calls a line, however many words it has."""
+    odd = ["", " \n ", "bcdf", "ghj\nklm", "ΟΔΟΣ Σ.\rİİ İx 𝐀b 𝟙2\r\nⒶb ªc", "One two three four five\ngoes on; x | y   z ://", "x" * 9, "- A list\n- A list", "\x85a\x1cb  \x0b c"]
+    rng = random.Random(5)
+    texts = odd + ["\n".join(" ".join(rng.choice(["Word", "of", "12", "a|b"]) for _ in range(60)) for _ in range(8)) for _ in range(60)]
+    common = frozenset({"of", "σ."})
+    alone = [text_quality.line_statistics([t], common) for t in texts]
+    together = text_quality.line_statistics(texts, common)
+    for k in range(3):
+        assert np.array_equal(together[k], np.concatenate([a[k] for a in alone]))
+    assert np.bincount(together[3], minlength=len(texts)).tolist() == [len(a[0]) for a in alone]
+    named = alone[4][0][:, 22] * alone[4][2][:, 0]
+    assert named.tolist() == [1, 2, 0] and alone[5][2].tolist() == [[5, 0, 19], [7, 0, 14]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    run = lambda: list(text_quality._measure(iter([batch]), common, SimpleNamespace(value=None)))
+    run()
+    assert python_calls(run) < 25 * len(together[0])
+
+
+def test_shares_are_those_of_the_gaussians():
+    """Of the sums of powers come the means, covariances and densities as they are defined."""
+    rng = np.random.default_rng(1)
+    z, r = np.concatenate([rng.normal(k, 1 + k, (200, 3)) for k in range(2)]), rng.dirichlet([1, 1], 400)
+    model = text_quality.Mixture.__new__(text_quality.Mixture)
+    model._maximize(model._moments(z, lambda lo, hi, powers: r.T[:, lo:hi]), 3)
+    want = []
+    for w in r.T:
+        c = z - np.average(z, 0, w)
+        cov = (c * w[:, None]).T @ c / w.sum() + text_quality.RIDGE * np.eye(3)
+        want.append(w.sum() / len(z) * np.exp(-0.5 * np.einsum("ni,ij,nj->n", c, np.linalg.inv(cov), c)) / np.sqrt(np.linalg.det(cov)))
+    shares, log = model._shares(model._powers(z))
+    assert np.allclose(shares, want / np.sum(want, 0)) and np.allclose(log, np.log(np.sum(want, 0)))

@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import partial, reduce
+from functools import lru_cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ AROUND = 4
 THRESHOLD = 0.4
 #: Characters of a short text, and what the status of its response weighs against a phrase.
 SHORT, STATUS_WEIGHT = 200, 0.1
-#: Features that a task holds at once; a batch of long texts has many more.
-FLUSH = 1_000_000
+#: Tokens and sentences that a task holds at once, and different tokens.
+FLUSH, VOCABULARY = 1 << 18, 1 << 18
 L2, STEPS = 2e-6, 200
 
 
@@ -85,12 +86,17 @@ def sentences(text: str | None) -> list[str]:
     return [s for s in _SPLIT.split(consistent(text)) if s and not s.isspace()] if text else []
 
 
+def _stands_alone(t: str) -> bool:
+    """A sign at which something is scored by itself."""
+    return not t[0].isalnum() and t not in _PLAIN or t.lower() in _SIGNS
+
+
 def units(s: str) -> list[str]:
     """What is scored of a sentence: the whole, and of a long one with signs also the words around each of them."""
     at = list(_TOKEN.finditer(s))
     if len(at) <= 2 * AROUND + 2:
         return [s]
-    signs = [i for i, m in enumerate(at) if not m.group()[0].isalnum() and m.group() not in _PLAIN or m.group().lower() in _SIGNS]
+    signs = [i for i, m in enumerate(at) if _stands_alone(m.group())]
     spans: list[list[int]] = []
     for i in signs:
         lo, hi = max(0, i - AROUND), min(len(at), i + AROUND + 1)
@@ -101,25 +107,37 @@ def units(s: str) -> list[str]:
     return [s, *(s[at[lo].start() : at[hi - 1].end()] for lo, hi in spans)]
 
 
+def token_form(t: str, first: bool) -> str:
+    """What a token counts as: numbers by their length, names as one, unless a unit begins with it."""
+    if t[0].isdigit():
+        return "0a" if not t.isdigit() else "0" if len(t) < 3 else t if t in _CODES else "00"
+    return "Name" if not first and t[0].isupper() and not t.isupper() and t.lower() not in _KEPT else t.lower()
+
+
+def _is_sign(form: str) -> bool:
+    return not form[0].isalnum() or form in _SIGNS
+
+
+def _extent(chars: int) -> str:
+    return "tiny" if chars < 120 else "short" if chars < 300 else "long"
+
+
+def _frame(k: int, whole: str, tokens: int) -> list[str]:
+    """Features of where a unit stands and how long it is."""
+    size, title = f"len{min(tokens, 12)}", "title" if k == 0 else "body"
+    return [size, whole, title, f"{whole} {size}", f"{title} {whole}"]
+
+
 def features(s: str, k: int, chars: int) -> list[int]:
     """Hashed n-grams, length and title features of (a unit of) sentence k."""
-    tokens = []
-    for t in _TOKEN.findall(s):
-        if t[0].isdigit():
-            tokens.append("0a" if not t.isdigit() else "0" if len(t) < 3 else t if t in _CODES else "00")
-        elif tokens and t[0].isupper() and not t.isupper() and t.lower() not in _KEPT:
-            tokens.append("Name")
-        else:
-            tokens.append(t.lower())
-    size = f"len{min(len(tokens), 12)}"
-    whole = "tiny" if chars < 120 else "short" if chars < 300 else "long"
-    title = "title" if k == 0 else "body"
-    found = [size, whole, title, f"{whole} {size}", f"{title} {whole}"]
+    tokens = [token_form(t, not i) for i, t in enumerate(_TOKEN.findall(s))]
+    whole = _extent(chars)
+    found = _frame(k, whole, len(tokens))
     found += tokens
     found += [f"{whole}\t{t}" for t in tokens]
     grams = list(map(" ".join, zip(tokens, tokens[1:])))
     found += grams
-    signs = [not t[0].isalnum() or t in _SIGNS for t in tokens]
+    signs = [_is_sign(t) for t in tokens]
     if whole != "long":
         found += map(" ".join, zip(tokens, tokens[1:], tokens[2:]))
     if any(signs):
@@ -238,28 +256,146 @@ def labelled(rows: list) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, list
     return x, y, weight, [u[0] for u, _, _ in several]
 
 
+@lru_cache(maxsize=1)
+def _zeros() -> np.ndarray:
+    """Tables of what 2^b zero bytes after a text do to its CRC-32, by the four bytes of the latter."""
+    byte = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        byte = np.where(byte & 1, byte >> 1 ^ 0xEDB88320, byte >> 1).astype(np.uint32)
+    at = np.arange(256, dtype=np.uint32) << (8 * np.arange(4, dtype=np.uint32))[:, None]
+    tables = [at >> 8 ^ byte[at & 255]]
+    for _ in range(31):
+        tables.append(_through(tables[-1], tables[-1]))
+    return np.array(tables)
+
+
+def _through(table: np.ndarray, crc: np.ndarray) -> np.ndarray:
+    return table[0][crc & 255] ^ table[1][crc >> 8 & 255] ^ table[2][crc >> 16 & 255] ^ table[3][crc >> 24]
+
+
+def joined_crc(before: np.ndarray, after: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """CRC-32 of two texts put together, from that of each and the bytes of the second."""
+    out, tables = np.array(before, np.uint32), _zeros()
+    for b in range(int(length.max(initial=0)).bit_length()):
+        at = np.flatnonzero(length >> b & 1)
+        out[at] = _through(tables[b], out[at])
+    return out ^ after
+
+
+class Vocabulary(dict):
+    """A number for each token met, and of its forms inside a unit and at its start what features need."""
+
+    #: CRC-32 of the form, and of a space and the form, its bytes, whether it is a sign, and CRC-32 after each extent.
+    COLUMNS = 7
+    EXTENTS = ("tiny", "short", "long")
+
+    def __init__(self):
+        self.forms, self.signs = array("I"), array("B")
+
+    def __missing__(self, t: str) -> int:
+        self[t] = n = len(self)
+        for first in (False, True):
+            form = token_form(t, first)
+            raw = form.encode()
+            self.forms.extend((zlib.crc32(raw), zlib.crc32(b" " + raw), len(raw), _is_sign(form), *(zlib.crc32(f"{x}\t{form}".encode()) for x in self.EXTENTS)))
+        self.signs.append(_stands_alone(t))
+        return n
+
+
+class Scorer:
+    """Scores of the units of many sentences at once: the sums of the weights of their features."""
+
+    def __init__(self, w: np.ndarray):
+        self.w, self.words = w, Vocabulary()
+        crc = [[[[zlib.crc32(f.encode()) for f in _frame(k, x, n)] for n in range(13)] for x in Vocabulary.EXTENTS] for k in (0, 1)]
+        self.frame = self._weight(np.array(crc, np.uint32)).sum(-1, dtype=float) + float(w[-1])
+
+    def _weight(self, crc: np.ndarray) -> np.ndarray:
+        return self.w[crc & np.uint32(DIMENSIONS - 1)]
+
+    def _units(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first token, token behind the last, sentence) of each unit, as `units` has them."""
+        ends = np.cumsum(sizes)
+        sentence = np.repeat(np.arange(len(sizes)), sizes)
+        signs = np.array(self.words.signs, bool)
+        at = np.flatnonzero(signs[ids] & (sizes > 2 * AROUND + 2)[sentence])
+        spans: list[list[int]] = []
+        for i, s, start, end in zip(at.tolist(), sentence[at].tolist(), (ends - sizes)[sentence[at]].tolist(), ends[sentence[at]].tolist()):
+            lo, hi = max(start, i - AROUND), min(end, i + AROUND + 1)
+            if spans and spans[-1][2] == s and lo <= spans[-1][1] - AROUND:
+                spans[-1][1] = hi
+            else:
+                spans.append([lo, hi, s])
+        near = np.array(spans, np.int64).reshape(-1, 3).T
+        return tuple(np.concatenate(v) for v in zip((ends - sizes, ends, np.arange(len(sizes))), near))
+
+    def scores(self, ids: list[int], sizes: list[int], title: list[bool], extent: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(score, sentence) of the units of some sentences."""
+        ids, sizes = np.array(ids, np.int64), np.array(sizes, np.int64)
+        lo, hi, sentence = self._units(ids, sizes)
+        n = hi - lo
+        extent = np.array(extent)[sentence]
+        out = self.frame[np.where(np.array(title)[sentence], 0, 1), extent, np.minimum(n, 12)]
+
+        def add(unit: np.ndarray, crc: np.ndarray) -> None:
+            out[:] += np.bincount(unit, self._weight(crc), len(out))
+
+        unit = np.repeat(np.arange(len(n)), n)
+        at = np.arange(len(unit)) + np.repeat(lo - (np.cumsum(n) - n), n)
+        form = 2 * ids[at] + (at == lo[unit])
+        table = np.array(self.words.forms, np.uint32).reshape(-1, Vocabulary.COLUMNS)
+        one, spaced, size, sign = (table[:, c][form] for c in range(4))
+        add(unit, one)
+        add(unit, table[form, 4 + extent[unit]])
+        size, sign = size.astype(np.int64), sign > 0
+        i = np.flatnonzero(unit[1:] == unit[:-1])
+        two = np.zeros(len(unit), np.uint32)
+        two[i] = joined_crc(one[i], spaced[i + 1], size[i + 1] + 1)
+        add(unit[i], two[i])
+        near = [(unit[sign], one[sign], size[sign])]
+        i = i[sign[i] | sign[i + 1]]
+        near.append((unit[i], two[i], size[i] + size[i + 1] + 1))
+        i = np.flatnonzero(unit[2:] == unit[:-2])
+        i = i[sign[i] | sign[i + 1] | sign[i + 2] | (extent[unit[i]] < 2)]
+        three = joined_crc(two[i], spaced[i + 2], size[i + 2] + 1)
+        short = extent[unit[i]] < 2
+        add(unit[i[short]], three[short])
+        signed = sign[i] | sign[i + 1] | sign[i + 2]
+        i = i[signed]
+        near.append((unit[i], three[signed], size[i] + size[i + 1] + size[i + 2] + 2))
+        unit, crc, size = (np.concatenate(v) for v in zip(*near))
+        for k in "abc":
+            add(unit, joined_crc(np.full(len(crc), zlib.crc32(f"{k}\t".encode()), np.uint32), crc, size))
+        return out, sentence
+
+
 def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    w = model.value
+    scorer = Scorer(model.value)
     for b in batches:
         texts = b.column(1).to_pylist()
         best = np.full(len(texts), -np.inf)
-        idx, sizes, owner = [], [], []
+        ids, sizes, title, extent, owner = [], [], [], [], []
 
         def flush() -> None:
             if sizes:
-                starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                np.maximum.at(best, np.array(owner), np.add.reduceat(w[np.array(idx)], starts) + w[-1])
-            idx.clear(), sizes.clear(), owner.clear()
+                score, sentence = scorer.scores(ids, sizes, title, extent)
+                np.maximum.at(best, np.array(owner)[sentence], score)
+            for held in (ids, sizes, title, extent, owner):
+                held.clear()
+            if len(scorer.words) > VOCABULARY:
+                scorer.words = Vocabulary()
 
         for n, t in enumerate(texts):
             parts = sentences(t)
-            chars = sum(map(len, parts))
-            for k, u in ((k, u) for k, s in enumerate(parts) for u in units(s)):
-                f = features(u, k, chars)
-                idx.extend(f)
-                sizes.append(len(f))
+            whole = Vocabulary.EXTENTS.index(_extent(sum(map(len, parts))))
+            for k, s in enumerate(parts):
+                before = len(ids)
+                ids.extend(map(scorer.words.__getitem__, _TOKEN.findall(s)))
+                sizes.append(len(ids) - before)
+                title.append(k == 0)
+                extent.append(whole)
                 owner.append(n)
-                if len(idx) > FLUSH:
+                if len(ids) + len(sizes) > FLUSH:
                     flush()
         flush()
         p = 1 / (1 + np.exp(-np.clip(best, -30, 30)))

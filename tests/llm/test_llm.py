@@ -459,3 +459,30 @@ def test_shares_are_those_of_the_gaussians():
         want.append(w.sum() / len(z) * np.exp(-0.5 * np.einsum("ni,ij,nj->n", c, np.linalg.inv(cov), c)) / np.sqrt(np.linalg.det(cov)))
     shares, log = model._shares(model._powers(z))
     assert np.allclose(shares, want / np.sum(want, 0)) and np.allclose(log, np.log(np.sum(want, 0)))
+
+
+@given(st.lists(st.lists(st.sampled_from([*"aB1İ Ⅷσ{}[%(|_:/.\n", "404", " Name", " undefined ", " Todo", " of", " JS "]), max_size=90).map("".join) | st.text(max_size=40), max_size=6))
+@settings(max_examples=80, deadline=None)
+def test_scores_are_the_sums_of_features(texts):
+    """Sentences scored together, by hashes put together from those of tokens, have the weights of their features."""
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts] + ["Of {{a}} the Name, [todo] " * 12, "…\n—", "", None]
+    w = np.random.default_rng(3).normal(scale=0.05, size=residue.DIMENSIONS + 1)
+    want = []
+    for t in texts:
+        parts = residue.sentences(t)
+        chars = sum(map(len, parts))
+        want.append(max((w[residue.features(u, k, chars)].sum() + w[-1] for k, s in enumerate(parts) for u in residue.units(s)), default=-30.0))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    (out,) = residue._score(iter([batch]), SimpleNamespace(value=w))
+    *got, none = out.column("score").to_pylist()
+    assert none is None and np.allclose(got, 1 / (1 + np.exp(-np.array(want[:-1]))), atol=1e-9)
+
+
+def test_sentences_are_scored_at_few_calls():
+    """The calls of Python do not grow with the n-grams."""
+    rng = random.Random(5)
+    texts = ["\n".join(" ".join(rng.choice(["Word", "of", "12", "a|b", "{x}"]) for _ in range(60)) for _ in range(8)) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    run = lambda: list(residue._score(iter([batch]), SimpleNamespace(value=np.zeros(residue.DIMENSIONS + 1))))
+    run()
+    assert python_calls(run) < 120 * 8 * len(texts)

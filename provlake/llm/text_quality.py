@@ -101,6 +101,36 @@ def _counts(code: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _words(code: np.ndarray, starts: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Per line: ends of runs of four consonants, words, longest word, capital and small letter at the start, later words with a capital, words with a digit."""
+    n, bits = len(starts), _classes()[0][np.minimum(code, 0x10000)]
+    cons = (bits & _CONS) > 0
+    run = np.zeros(len(cons), bool)
+    run[3:] = cons[3:] & cons[2:-1] & cons[1:-2] & cons[:-3]
+    for k in range(3):  # no run goes on from one text into the next
+        run[np.minimum(texts + k, len(run) - 1)] = False
+    pile = np.add.reduceat(run, starts, dtype=np.int64)
+    # words: from each character after a space or a line's start to the next such place
+    blank = (bits & _SPACE) > 0
+    edge = np.empty(len(blank), bool)
+    edge[1:], edge[starts] = blank[:-1], True
+    head = np.flatnonzero(edge & ~blank)
+    edge[:-1], edge[starts[1:] - 1], edge[-1] = blank[1:], True, True
+    length = np.flatnonzero(edge & ~blank) - head + 1
+    if (dotted := np.flatnonzero(code == 0x130)).size:  # in small letters it is two characters
+        length += np.bincount(np.searchsorted(head, dotted, "right") - 1, minlength=len(head))
+    initial = bits[head]
+    for k in np.flatnonzero(code[head] > 0xFFFF):
+        ch = chr(code[head[k]])
+        initial[k] = _case(ch) | (_DIGIT if ch.isdigit() else 0)
+    at = np.searchsorted(starts, head, "right") - 1
+    words = np.bincount(at, minlength=n)
+    first = np.cumsum(words) - words
+    capital = ((initial[first] & _CAPITAL) > 0).astype(float)
+    named = np.bincount(at, (initial & _CAPITAL) > 0, n) - capital
+    return pile, words, np.maximum.reduceat(length, first).astype(float), capital, (initial[first] & _SMALL) > 0, named, np.bincount(at, (initial & _DIGIT) > 0, n)
+
+
 def line_statistics(texts: list[str], common: frozenset[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(statistics, characters, counts of words, common words and characters in words, text) of the lines of some texts that are not blank, all at once."""
     of = [[ln for ln in _LINE.split(t) if ln and not ln.isspace()] for t in texts]
@@ -113,49 +143,25 @@ def line_statistics(texts: list[str], common: frozenset[str]) -> tuple[np.ndarra
     starts = np.concatenate([[0], np.cumsum(size)[:-1]])
     code = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
     letter, digit, space, upper, vowel, usual, odd, broken, *single = _counts(code, starts).T
-    bits = _classes()[0][np.minimum(code, 0x10000)]
-    cons = (bits & _CONS) > 0
-    run = np.zeros(len(cons), bool)
-    run[3:] = cons[3:] & cons[2:-1] & cons[1:-2] & cons[:-3]
-    first_line = np.concatenate([[0], np.cumsum(held)[:-1]])[held > 0]
-    for k in range(3):  # no run goes on from one text into the next
-        run[np.minimum(starts[first_line] + k, len(run) - 1)] = False
-    pile = np.add.reduceat(run, starts, dtype=np.int64)
+    first_line = (np.cumsum(held) - held)[held > 0]
+    pile, words, longest, capital, small, named, counted = _words(code, starts, starts[first_line])
+    del code  # of a long text it is large
     joined = "\n".join(lines)
     single = iter(single)
     many = np.stack([next(single) if len(s) == 1 else _occurrences(s, lines, joined) for s in SEPARATORS], 1)
     best = many.argmax(1)
     cells = many[np.arange(n), best]
-    # words: from each character after a space or a line's start to the next such place
-    blank = (bits & _SPACE) > 0
-    before, after = np.empty(len(blank), bool), np.empty(len(blank), bool)
-    before[1:], after[:-1] = blank[:-1], blank[1:]
-    before[starts], after[starts[1:] - 1], after[-1] = True, True, True
-    head, tail = np.flatnonzero(before & ~blank), np.flatnonzero(after & ~blank)
-    at = np.searchsorted(starts, head, "right") - 1
-    words = np.bincount(at, minlength=n)
-    first = np.concatenate([[0], np.cumsum(words)[:-1]])
-    length = tail - head + 1
-    if (dotted := np.flatnonzero(code == 0x130)).size:  # in small letters it is two characters
-        length += np.bincount(np.searchsorted(head, dotted, "right") - 1, minlength=len(head))
-    longest = np.maximum.reduceat(length, first).astype(float)
-    initial = bits[head]
-    for k in np.flatnonzero(code[head] > 0xFFFF):
-        ch = chr(code[head[k]])
-        initial[k] = _case(ch) | (_DIGIT if ch.isdigit() else 0)
-    capital = ((initial[first] & _CAPITAL) > 0).astype(float)
-    named = np.bincount(at, (initial & _CAPITAL) > 0, n) - capital
-    counted = np.bincount(at, (initial & _DIGIT) > 0, n)
-    low, to = joined.lower().split(), np.cumsum(words).tolist()
-    own = [low[a:b] for a, b in zip([0, *to], to)]
-    distinct = np.array([len(set(w)) for w in own], float)
-    usual_words = np.fromiter(map(common.__contains__, low), np.int64, len(low))
-    common_ = np.add.reduceat(usual_words, first).astype(float)
+    linked = _occurrences("://", lines, joined)
+    low, to = joined.lower().split(), np.cumsum(words)
+    del joined
+    first = to - words
+    distinct = np.fromiter((len(set(low[a:b])) for a, b in zip(first.tolist(), to.tolist())), float, n)
+    common_ = np.add.reduceat(np.fromiter(map(common.__contains__, low), bool, len(low)), first, dtype=np.int64).astype(float)
+    del low
     words_ = words.astype(float)
     ends = np.array([_END.search(ln[-8:]) is not None for ln in lines], float)
     bullet = np.array([_BULLET.match(ln) is not None for ln in lines], float)
     inner = np.array([len(_SENTENCE.findall(ln)) for ln in lines], float)
-    linked = _occurrences("://", lines, joined)
     safe = np.maximum(words_, 1)
     like = np.zeros(n)  # the same cells as a neighbour
     same = np.zeros(n)  # the same line as a neighbour
@@ -171,7 +177,7 @@ def line_statistics(texts: list[str], common: frozenset[str]) -> tuple[np.ndarra
     close = beside & (np.abs(words_[1:] - words_[:-1]) <= 2)
     grown[1:] += close
     grown[:-1] += close
-    on = beside & (ends[:-1] == 0) & (words_[:-1] >= 5) & ((initial[first[1:]] & _SMALL) > 0)
+    on = beside & (ends[:-1] == 0) & (words_[:-1] >= 5) & small[1:]
     flows[:-1][on] = 1
     flows[1:][on] = 1
     cols = (
